@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from plaudit.functions.rounding import settle
+
 
 def median_times(timings: DataFrame) -> DataFrame:
     """Median seconds per configuration.
@@ -13,10 +15,10 @@ def median_times(timings: DataFrame) -> DataFrame:
     """
     runs = timings.withColumn("seconds", F.round("seconds", 4)).groupBy("engine", "seconds").agg(F.count(F.lit(1)).alias("n"))
     middle = F.percentile("seconds", 0.5, F.col("n"))
-    return runs.groupBy("engine").agg(F.sum("n").alias("runs"), F.round(middle, 4).alias("seconds"))
+    return runs.groupBy("engine").agg(F.sum("n").alias("runs"), settle(middle, 4).alias("seconds"))
 
 
 def throughput(timings: DataFrame) -> DataFrame:
     """Rows per second of each run; 0 for a run too short to measure."""
-    rate = F.when(F.col("seconds") > 0, F.round(F.col("rows") / F.col("seconds"), 2)).otherwise(F.lit(0.0))
+    rate = F.when(F.col("seconds") > 0, settle(F.col("rows") / F.col("seconds"), 2)).otherwise(F.lit(0.0))
     return timings.withColumn("rows_per_second", rate)

@@ -44,7 +44,7 @@ PRODUCT_REVIEWS = 50
 WORST_REVIEWS = 75
 RAW_PRODUCT_REVIEWS = 27
 WORD_USES = 50
-FIRST_BATCH_ENDS = "1998-01-01"
+FIRST_BATCH_ENDS = "1995-02-01"
 CATEGORY, BAND = "ECONOMY", "4. 3,000-9,999"
 
 _STORED: dict[tuple[str, str, str], object] = {}
@@ -175,7 +175,12 @@ def silver_nonempty_text(spark, sf):
 def silver_name_tidy(spark, sf):
     # names as they arrive from a broken encoding
     broken = raw_reviews(spark, sf).select(
-        F.concat(F.lit(" ??�"), F.regexp_replace("product_name", " ", "  �"), F.lit("? \t"), F.col("price")).alias("arrived")
+        F.concat(
+            F.lit(" ??\ufffd"),
+            F.replace(F.col("product_name"), F.lit(" "), F.lit("\u00a0\u00a0\ufffd")),
+            F.lit("? \t"),
+            F.col("price"),
+        ).alias("arrived")
     )
     return broken.withColumn("product_name", F.col("arrived")).transform(C.tidy_name)
 
