@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from plaudit.operators.words import english_stop_words
 
 
-def document_words(df: DataFrame, keep: Sequence[str] = (), src: str = "review_text", stop_words: Sequence[str] | None = None) -> DataFrame:
+def document_words(df: DataFrame, src: str = "review_text", stop_words: Sequence[str] | None = None) -> DataFrame:
     """The words of each text as an array, stop words removed."""
     stop = english_stop_words() if stop_words is None else list(stop_words)
     words = F.split(F.col(src), " ")
     if stop:
         words = F.filter(words, lambda w: ~w.isin(*stop))
-    return df.select(*keep, words.alias("words"))
+    return df.select(words.alias("words"))
 
 
 def word_frequencies(docs: DataFrame) -> DataFrame:
@@ -29,8 +29,11 @@ def word_frequencies(docs: DataFrame) -> DataFrame:
     texts = F.transform(
         F.array_distinct("words"), lambda w: F.struct(w.alias("word"), F.lit(0).alias("tf"), F.lit(1).alias("df"))
     )
+    # a plain explode would make Spark test the array's size first and so clean and
+    # split every text twice; the outer one yields a NULL for an empty array
     return (
-        docs.select(F.explode(F.concat(uses, texts)).alias("w"))
+        docs.select(F.explode_outer(F.concat(uses, texts)).alias("w"))
+        .filter(F.col("w").isNotNull())
         .groupBy(F.col("w.word").alias("word"))
         .agg(F.sum("w.tf").alias("count"), F.sum("w.df").alias("df"))
     )
@@ -47,14 +50,14 @@ def idf(words: DataFrame, docs: DataFrame) -> DataFrame:
     return words.withColumn("idf", F.log((texts + 1) / (F.col("df") + 1)))
 
 
-def term_counts(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
+def tfidf(words: DataFrame, weights: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Uses of each vocabulary word in each text, weighted by idf.
+
+    ``words`` has one row per occurrence.  Other words drop out before the shuffle.
+    """
     return (
-        docs.select(*keys, F.explode("words").alias("word"))
-        .groupBy(*keys, "word")
+        words.join(weights.select("word", "idf"), "word")
+        .groupBy(*keys, "word", "idf")
         .agg(F.count(F.lit(1)).alias("tf"))
+        .select(*keys, "word", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
     )
-
-
-def tfidf(counts: DataFrame, weights: DataFrame) -> DataFrame:
-    """Term counts weighted by idf; words outside the vocabulary drop out."""
-    return counts.join(weights.select("word", "idf"), "word").withColumn("tfidf", F.col("tf") * F.col("idf"))

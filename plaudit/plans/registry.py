@@ -64,12 +64,19 @@ def stored(spark: SparkSession, sf: str, what: str, build: Callable[[], object])
 
 
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
-    return to_silver(raw_reviews(spark, sf), rules=TEST_RULES)
+    """The silver table as a pipeline run leaves it."""
+    return stored(spark, sf, "silver", lambda: stage(to_silver(raw_reviews(spark, sf), rules=TEST_RULES), "silver"))
+
+
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The numeric reviews as a stored table of several files."""
+    files = spark.sparkContext.defaultParallelism
+    return stored(spark, sf, "lines", lambda: stage(line_reviews(spark, sf).repartition(files), "lines"))
 
 
 def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     def build():
-        tables = S.build_star(line_reviews(spark, sf))
+        tables = S.build_star(_lines(spark, sf))
         return {name: stage(df, name) for name, df in tables.items()}
 
     return stored(spark, sf, "star", build)
@@ -77,7 +84,7 @@ def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def _marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     def build():
-        reviews = line_reviews(spark, sf)
+        reviews = _lines(spark, sf)
         totals = K.product_totals(reviews, PRODUCT_REVIEWS)
         tables = build_marts(_old_marts(spark, sf), K.cube(reviews), totals)
         return {name: stage(df, name) for name, df in tables.items()}
@@ -86,7 +93,7 @@ def _marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def _first_batch(spark: SparkSession, sf: str) -> DataFrame:
-    return line_reviews(spark, sf).filter(F.col("received_at") < F.lit(FIRST_BATCH_ENDS).cast("timestamp"))
+    return _lines(spark, sf).filter(F.col("received_at") < F.lit(FIRST_BATCH_ENDS).cast("timestamp"))
 
 
 def _old_marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -110,7 +117,7 @@ def _cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def _partitioned(spark: SparkSession, sf: str) -> DataFrame:
     def build():
-        reviews = line_reviews(spark, sf).drop("received_at")
+        reviews = _lines(spark, sf).drop("received_at")
         return catalog.save_partitioned(reviews, "review_db.reviews", path=fresh_path(spark, "reviews"))
 
     return stored(spark, sf, "partitioned", build)
@@ -192,7 +199,7 @@ def silver_null_sentinel(spark, sf):
 
 @query
 def silver_sentiment(spark, sf):
-    reviews = line_reviews(spark, sf).select("product_name", "rating")
+    reviews = _lines(spark, sf).select("product_name", "rating")
     return reviews.transform(C.label_sentiment)
 
 
@@ -216,7 +223,7 @@ def silver_category(spark, sf):
 
 @query
 def silver_full(spark, sf):
-    return _silver(spark, sf)
+    return to_silver(raw_reviews(spark, sf), rules=TEST_RULES)
 
 
 @query
@@ -237,7 +244,7 @@ def dq_funnel(spark, sf):
 
 @query
 def dq_constraints(spark, sf):
-    reviews = line_reviews(spark, sf).select("product_name", "category", "rating", "price", "word_count")
+    reviews = _lines(spark, sf).select("product_name", "category", "rating", "price", "word_count")
     rules = {
         "product_name not null": F.col("product_name").isNotNull(),
         "rating 2..4": F.col("rating").between(2, 4),
@@ -250,7 +257,7 @@ def dq_constraints(spark, sf):
 @query
 def dq_orphans(spark, sf):
     early = _first_batch(spark, sf)
-    return Q.orphans(line_reviews(spark, sf), early, ["product_name", "category"])
+    return Q.orphans(_lines(spark, sf), early, ["product_name", "category"])
 
 
 # ---- gold and words ---------------------------------------------------------
@@ -261,7 +268,7 @@ def gold_cube(spark, sf):
 
 @query
 def gold_products(spark, sf):
-    return K.products(line_reviews(spark, sf), PRODUCT_REVIEWS)
+    return K.products(_lines(spark, sf), PRODUCT_REVIEWS)
 
 
 @query
@@ -297,12 +304,12 @@ def text_word_counts(spark, sf):
 # ---- star schema ------------------------------------------------------------
 @query
 def dw_dim_category(spark, sf):
-    return S.name_dim(line_reviews(spark, sf), "category", "category_key", "category_name")
+    return S.name_dim(_lines(spark, sf), "category", "category_key", "category_name")
 
 
 @query
 def dw_dim_price_band(spark, sf):
-    return S.name_dim(line_reviews(spark, sf), "price_band", "price_band_key", "price_band")
+    return S.name_dim(_lines(spark, sf), "price_band", "price_band_key", "price_band")
 
 
 @query
@@ -314,7 +321,7 @@ def dw_dim_sentiment(spark, sf):
 
 @query
 def dw_dim_product(spark, sf):
-    reviews = line_reviews(spark, sf)
+    reviews = _lines(spark, sf)
     return S.product_dim(reviews, S.name_dim(reviews, "category", "category_key", "category_name"))
 
 
@@ -326,7 +333,7 @@ def dw_product_lookup(spark, sf):
 
 @query
 def dw_fact_reviews(spark, sf):
-    reviews, star = line_reviews(spark, sf), _star(spark, sf)
+    reviews, star = _lines(spark, sf), _star(spark, sf)
     return S.build_fact(reviews, star)
 
 
@@ -358,14 +365,14 @@ def dw_load_counts(spark, sf):
 def dw_dim_upsert(spark, sf):
     """Product names of all batches merged into the names of the first one."""
     old = S.name_dim(_first_batch(spark, sf), "product_name", "name_id", "name")
-    names = line_reviews(spark, sf).select(F.col("product_name").alias("name"))
+    names = _lines(spark, sf).select(F.col("product_name").alias("name"))
     return M.upsert_dim(old, names, "name_id", "name")
 
 
 @query
 def dw_product_merge(spark, sf):
     """Products of the first batch take the leading category over all batches."""
-    ids = S.name_dim(line_reviews(spark, sf), "category", "category_id", "category_name")
+    ids = S.name_dim(_lines(spark, sf), "category", "category_id", "category_name")
     ids = ids.withColumn("category_id", F.col("category_id").cast("long"))
 
     def led(reviews):
@@ -375,13 +382,13 @@ def dw_product_merge(spark, sf):
     first = led(_first_batch(spark, sf))
     numbered = S.dense_key(first.select("product_name"), ["product_name"], "product_id")
     old = first.join(numbered, "product_name")
-    return M.merge_products(old, led(line_reviews(spark, sf)))
+    return M.merge_products(old, led(_lines(spark, sf)))
 
 
 @query
 def dw_dim_rating(spark, sf):
     old = _first_batch(spark, sf).filter(F.col("sentiment") != "neutral").select("rating").distinct()
-    return M.insert_ratings(old, line_reviews(spark, sf))
+    return M.insert_ratings(old, _lines(spark, sf))
 
 
 @query
@@ -443,7 +450,7 @@ def catalog_partitioned_read(spark, sf):
 
 @query
 def catalog_partitions(spark, sf):
-    reviews = line_reviews(spark, sf).drop("received_at")
+    reviews = _lines(spark, sf).drop("received_at")
     catalog.save_partitioned(reviews, "review_db.listed", path=fresh_path(spark, "listed"))
     return catalog.list_partitions(spark, "review_db.listed")
 
@@ -563,12 +570,12 @@ def dash_rating_by_band(spark, sf):
 
 @query
 def dash_top_products(spark, sf):
-    return serving.ranked_products(K.products(line_reviews(spark, sf), PRODUCT_REVIEWS), "reviews")
+    return serving.ranked_products(K.products(_lines(spark, sf), PRODUCT_REVIEWS), "reviews")
 
 
 @query
 def dash_lowest_rated(spark, sf):
-    return serving.ranked_products(K.products(line_reviews(spark, sf), PRODUCT_REVIEWS), "avg_rating")
+    return serving.ranked_products(K.products(_lines(spark, sf), PRODUCT_REVIEWS), "avg_rating")
 
 
 @query
@@ -604,12 +611,12 @@ def ml_input(spark, sf):
 
 @query
 def ml_labels(spark, sf):
-    return C.label(line_reviews(spark, sf)).select("product_name", "sentiment", "label")
+    return C.label(_lines(spark, sf)).select("product_name", "sentiment", "label")
 
 
 @query
 def ml_labels_binary(spark, sf):
-    return C.label(line_reviews(spark, sf), ML.TWO_CLASSES).select("product_name", "sentiment", "label")
+    return C.label(_lines(spark, sf), ML.TWO_CLASSES).select("product_name", "sentiment", "label")
 
 
 @query
@@ -620,7 +627,7 @@ def ml_split(spark, sf):
 
 @query
 def ml_class_weights(spark, sf):
-    return E.class_weights(C.label(line_reviews(spark, sf)))
+    return E.class_weights(C.label(_lines(spark, sf)))
 
 
 @query
@@ -637,9 +644,10 @@ def ml_idf(spark, sf):
 @query
 def ml_tfidf(spark, sf):
     texts = table(spark, sf, "documents").select("doc_id", T.plain_words(F.col("text")).alias("review_text"))
-    docs = X.document_words(texts, keep=["doc_id"])
+    docs = X.document_words(texts)
     weights = stage(X.idf(X.vocabulary(X.word_frequencies(docs)), docs), "idf")
-    return X.tfidf(X.term_counts(docs, ["doc_id"]), weights).select("doc_id", "word", "tf", settle(F.col("tfidf"), 6).alias("tfidf"))
+    words = W.remove_stop_words(W.split_words(texts, ["doc_id"]))
+    return X.tfidf(words, weights, ["doc_id"]).withColumn("tfidf", settle(F.col("tfidf"), 6))
 
 
 @query
@@ -695,8 +703,7 @@ def ml_score_unknown(spark, sf):
 
 def _fitted(spark, sf):
     def build():
-        reviews = stage(_silver(spark, sf), "silver")
-        fitted, predicted = ML.train_and_test(reviews)
+        fitted, predicted = ML.train_and_test(_silver(spark, sf))
         return (*ML.export_weights(fitted, spark), stage(predicted, "predicted"))
 
     return stored(spark, sf, "fitted", build)
@@ -740,17 +747,17 @@ def ingest_incremental(spark, sf):
 
 @query
 def bench_cat_sentiment(spark, sf):
-    return line_reviews(spark, sf).groupBy("category", "sentiment").agg(F.count(F.lit(1)).alias("reviews"))
+    return _lines(spark, sf).groupBy("category", "sentiment").agg(F.count(F.lit(1)).alias("reviews"))
 
 
 @query
 def bench_cat_band(spark, sf):
-    return K.count_and_mean(line_reviews(spark, sf), ["category", "price_band"], "rating")
+    return K.count_and_mean(_lines(spark, sf), ["category", "price_band"], "rating")
 
 
 @query
 def bench_replicated_agg(spark, sf):
-    twenty = K.replicate(line_reviews(spark, sf).select("category", "price_band", "rating"), 20)
+    twenty = K.replicate(_lines(spark, sf).select("category", "price_band", "rating"), 20)
     return K.count_and_mean(twenty, ["category", "price_band"], "rating")
 
 

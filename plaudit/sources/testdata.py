@@ -14,6 +14,8 @@ TEST_RULES = (
     (r"^blue|gizmo|widget", "Gadgets"),
 )
 
+PRODUCTS = 37  # reviewed products among the parts
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,7 +25,14 @@ def numbered_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dirty review per document, with its ``doc_id``."""
     d, p, l = (table(spark, sf_dir, name) for name in ("documents", "part", "labels"))
     key = F.col("doc_id")
-    p = p.select(F.col("p_partkey").alias("_part"), F.concat_ws(" ", "p_name", "p_brand").alias("product_name"), "p_retailprice")
+    # the join key takes 37 values, so at most 37 parts are read and broadcast
+    p = F.broadcast(
+        p.filter(F.col("p_partkey").between(0, PRODUCTS - 1)).select(
+            F.col("p_partkey").alias("_part"),
+            F.concat_ws(" ", "p_name", "p_brand").alias("product_name"),
+            "p_retailprice",
+        )
+    )
     factor = F.when(key % 12 == 0, F.lit(0.5)).otherwise((key % 12).cast("double"))
     amount = (F.col("p_retailprice") * factor).cast("decimal(12,2)").cast("string")
     rating = (
@@ -33,7 +42,7 @@ def numbered_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(1 + key % 5)
     )
     return (
-        d.withColumn("_part", key % 37)
+        d.withColumn("_part", key % PRODUCTS)
         .join(p, "_part")
         .join(l, "doc_id", "left")
         .select(
