@@ -6,36 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from plaudit.operators.words import english_stop_words
+from plaudit.operators.words import remove_stop_words
 
 
-def document_words(df: DataFrame, src: str = "review_text", stop_words: Sequence[str] | None = None) -> DataFrame:
-    """The words of each text as an array, stop words removed."""
-    stop = english_stop_words() if stop_words is None else list(stop_words)
-    words = F.split(F.col(src), " ")
-    if stop:
-        words = F.filter(words, lambda w: ~w.isin(*stop))
-    return df.select(words.alias("words"))
-
-
-def word_frequencies(docs: DataFrame) -> DataFrame:
+def word_frequencies(texts: DataFrame, src: str = "review_text", stop_words: Sequence[str] | None = None) -> DataFrame:
     """Total uses and number of texts per word.
 
-    Each text contributes its own counts inside its task (all words once, distinct
-    words once more), so the only shuffle carries one row per word and task, and
-    repeated texts need no key to be told apart.
+    Each text contributes its words twice inside its task, once as they stand and
+    once without repeats.  So the only shuffle carries one row per word and task,
+    and repeated texts need no key to be told apart.
     """
-    uses = F.transform("words", lambda w: F.struct(w.alias("word"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-    texts = F.transform(
-        F.array_distinct("words"), lambda w: F.struct(w.alias("word"), F.lit(0).alias("tf"), F.lit(1).alias("df"))
-    )
-    # a plain explode would make Spark test the array's size first and so clean and
-    # split every text twice; the outer one yields a NULL for an empty array
-    return (
-        docs.select(F.explode_outer(F.concat(uses, texts)).alias("w"))
-        .filter(F.col("w").isNotNull())
-        .groupBy(F.col("w.word").alias("word"))
-        .agg(F.sum("w.tf").alias("count"), F.sum("w.df").alias("df"))
+    words = F.split(F.col(src), " ")
+    both = texts.select(F.posexplode(F.array(words, F.array_distinct(words))).alias("_kind", "_words"))
+    each = remove_stop_words(both.select("_kind", F.explode("_words").alias("word")), stop_words)
+    return each.groupBy("word").agg(
+        F.count_if(F.col("_kind") == 0).alias("count"),
+        F.count_if(F.col("_kind") == 1).alias("df"),
     )
 
 
@@ -44,10 +30,10 @@ def vocabulary(frequencies: DataFrame, size: int = 20000, min_df: int = 3) -> Da
     return frequencies.filter(F.col("df") >= min_df).orderBy(F.desc("count"), "word").limit(size)
 
 
-def idf(words: DataFrame, docs: DataFrame) -> DataFrame:
+def idf(words: DataFrame, texts: DataFrame) -> DataFrame:
     """``ln((texts + 1) / (df + 1))`` for each word."""
-    texts = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return words.withColumn("idf", F.log((texts + 1) / (F.col("df") + 1)))
+    n = texts.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return words.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)))
 
 
 def tfidf(words: DataFrame, weights: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -30,6 +30,7 @@ from plaudit.sources.testdata import (
     numbered_reviews,
     predictions,
     raw_reviews,
+    spread,
     table,
     timings,
 )
@@ -69,9 +70,18 @@ def _silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The numeric reviews as a stored table of several files."""
-    files = spark.sparkContext.defaultParallelism
-    return stored(spark, sf, "lines", lambda: stage(line_reviews(spark, sf).repartition(files), "lines"))
+    """The numeric reviews as a stored table."""
+    return stored(spark, sf, "lines", lambda: stage(line_reviews(spark, sf), "lines"))
+
+
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned documents as a stored table."""
+
+    def build():
+        texts = spread(table(spark, sf, "documents"), "doc_id", "text")
+        return stage(texts.select("doc_id", T.plain_words(F.col("text")).alias("review_text")), "texts")
+
+    return stored(spark, sf, "texts", build)
 
 
 def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -632,20 +642,19 @@ def ml_class_weights(spark, sf):
 
 @query
 def ml_vocabulary(spark, sf):
-    return X.vocabulary(X.word_frequencies(X.document_words(_silver(spark, sf))))
+    return X.vocabulary(X.word_frequencies(_silver(spark, sf)))
 
 
 @query
 def ml_idf(spark, sf):
-    docs = X.document_words(_silver(spark, sf))
-    return X.idf(X.vocabulary(X.word_frequencies(docs)), docs).select("word", "df", settle(F.col("idf"), 6).alias("idf"))
+    reviews = _silver(spark, sf)
+    return X.idf(X.vocabulary(X.word_frequencies(reviews)), reviews).select("word", "df", settle(F.col("idf"), 6).alias("idf"))
 
 
 @query
 def ml_tfidf(spark, sf):
-    texts = table(spark, sf, "documents").select("doc_id", T.plain_words(F.col("text")).alias("review_text"))
-    docs = X.document_words(texts)
-    weights = stage(X.idf(X.vocabulary(X.word_frequencies(docs)), docs), "idf")
+    texts = _texts(spark, sf)
+    weights = stage(X.idf(X.vocabulary(X.word_frequencies(texts)), texts), "idf")
     words = W.remove_stop_words(W.split_words(texts, ["doc_id"]))
     return X.tfidf(words, weights, ["doc_id"]).withColumn("tfidf", settle(F.col("tfidf"), 6))
 
@@ -671,8 +680,7 @@ def _word_weights(spark, sf) -> DataFrame:
     def build():
         reviews = _silver(spark, sf)
         signals = W.word_signals(W.word_pivot(W.tokens(reviews)), WORD_USES)
-        docs = X.document_words(reviews)
-        known = X.idf(X.word_frequencies(docs), docs).select("word", settle(F.col("idf"), 6).alias("idf"))
+        known = X.idf(X.word_frequencies(reviews), reviews).select("word", settle(F.col("idf"), 6).alias("idf"))
         neutral = settle(F.col("neutral") / F.col("total"), 3)
         weights = signals.join(known, "word").select(
             "word",
@@ -691,7 +699,7 @@ INTERCEPTS = {"negative": 0.25, "neutral": 0.125, "positive": -0.375}
 
 @query
 def ml_score(spark, sf):
-    return score(table(spark, sf, "documents"), _word_weights(spark, sf), INTERCEPTS, ["doc_id"])
+    return score(spread(table(spark, sf, "documents"), "doc_id", "text"), _word_weights(spark, sf), INTERCEPTS, ["doc_id"])
 
 
 @query
