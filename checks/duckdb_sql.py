@@ -6,11 +6,15 @@ plans but fixed values: rule patterns, labels, step names and the stop list.
 
 from __future__ import annotations
 
+import glob
+import os
 import re
+import zipfile
+
+import pyspark
 
 from plaudit.functions.rules import CATEGORY_RULES, OTHER_CATEGORY, PRICE_BANDS, TOP_PRICE_BAND
 from plaudit.operators.quality import FUNNEL_STEPS
-from plaudit.operators.words import english_stop_words
 from plaudit.plans.registry import (
     BAND,
     CATEGORY,
@@ -23,6 +27,13 @@ from plaudit.plans.registry import (
 from plaudit.sources.testdata import TEST_RULES
 
 
+def stop_list() -> list[str]:
+    """Spark's English stop words, read from its jar so that no session is needed."""
+    (jar,) = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
+    with zipfile.ZipFile(jar) as archive:
+        return archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
+
+
 def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -72,7 +83,7 @@ def cents(total: str) -> str:
 RATING = "CASE WHEN regexp_matches(trim(rate), '^[+-]?[0-9]+$') THEN TRY_CAST(trim(rate) AS INTEGER) END"
 PRICE = "TRY_CAST(regexp_replace(price, '[^0-9.]', '', 'g') AS DOUBLE)"
 MONEY = "CAST(price AS DECIMAL(18, 2))"
-STOP = ", ".join(lit(w) for w in english_stop_words())
+STOP = ", ".join(lit(w) for w in stop_list())
 FIRST = f"received_at < TIMESTAMP '{FIRST_BATCH_ENDS} 00:00:00'"
 
 
