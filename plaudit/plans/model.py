@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -119,7 +118,3 @@ def model_parity(predicted: DataFrame, weights: DataFrame, intercepts: dict[str,
     keyed = texts.withColumn("text_id", F.sha2("review_text", 256))
     scored = score(keyed, weights, intercepts, ["text_id"], text="review_text", max_chars=None)
     return parity(scored, keyed.select("text_id", "prediction"), ["text_id"])
-
-
-def intercepts_json(intercepts: DataFrame) -> str:
-    return json.dumps(intercepts.first().asDict())

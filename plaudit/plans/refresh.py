@@ -15,6 +15,7 @@ from plaudit.operators.star import build_star, keyed_fact
 from plaudit.plans import model as ML
 from plaudit.plans.silver import to_silver
 from plaudit.sources.tables import read_table, read_tables, write_table, write_tables
+from plaudit.staging import stage
 from plaudit.streaming.ingest import ingest_new
 
 MART_DIM_SCHEMAS = {
@@ -90,7 +91,12 @@ def old_marts(spark: SparkSession, previous: str | None) -> dict[str, DataFrame]
 
 
 def build_marts(old: dict[str, DataFrame], cells: DataFrame, totals: DataFrame) -> dict[str, DataFrame]:
-    """New versions of the aggregate warehouse tables; ids in ``old`` are kept."""
+    """New versions of the aggregate warehouse tables; ids in ``old`` are kept.
+
+    Both inputs are small beside the reviews and read by several tables, so they are
+    written once first.
+    """
+    cells, totals = stage(cells, "cells"), stage(totals, "totals")
     dims = {}
     for column, (table, key, name) in M.MART_DIMS.items():
         dims[table] = M.upsert_dim(old[table], cells.withColumnRenamed(column, name), key, name)

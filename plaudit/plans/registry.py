@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.functions import rules as R
 from plaudit.functions import text as T
 from plaudit.functions.rounding import settle
 from plaudit.operators import clean as C

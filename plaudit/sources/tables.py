@@ -53,6 +53,13 @@ def write_tables(tables: dict[str, DataFrame], folder: str, stamp: Iterable[str]
         write_table(df, f"{folder}/{name}", stamp=name in stamped)
 
 
+def save_tables(tables: dict[str, DataFrame], database: str) -> None:
+    """Replace catalog tables, each task writing its own rows."""
+    for name, df in tables.items():
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+
+
 def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
     names = list(names)
     require_inputs(spark, [f"{folder}/{name}" for name in names])

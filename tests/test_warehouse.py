@@ -8,7 +8,7 @@ from plaudit.operators import star as S
 from plaudit.plans import catalog, named
 from plaudit.plans.refresh import build_marts, old_marts
 from plaudit.plans.silver import to_silver
-from plaudit.sources.tables import load_marts, read_table, require_inputs, write_table
+from plaudit.sources.tables import load_marts, read_table, require_inputs, save_tables, write_table
 from plaudit.sources.testdata import TEST_RULES, line_reviews, raw_reviews
 from plaudit.staging import stage
 
@@ -133,6 +133,13 @@ def test_partitioned_table(spark, silver):
     assert "PartitionFilters: [isnotnull(category" in scan and "ReadSchema: struct<>" in scan
 
 
+def test_star_as_catalog_tables(spark, star, rows):
+    save_tables(star, "star_db")
+    save_tables(star, "star_db")
+    for name, df in star.items():
+        assert rows(spark.table(f"star_db.{name}")) == rows(df)
+
+
 def test_tables_and_marts(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.5, "x")], "a int, b double, c string")
     write_table(df, f"{tmp_path}/t", stamp=True)
