@@ -54,8 +54,12 @@ def rated(totals: DataFrame) -> DataFrame:
     )
 
 
+def ordered(rated_products: DataFrame) -> DataFrame:
+    return rated_products.orderBy(F.desc("reviews"), "product_name", "category")
+
+
 def products(silver: DataFrame, min_reviews: int = 100) -> DataFrame:
-    return rated(product_totals(silver, min_reviews)).orderBy(F.desc("reviews"), "product_name", "category")
+    return ordered(rated(product_totals(silver, min_reviews)))
 
 
 def split_by(df: DataFrame, *cols: str) -> DataFrame:

@@ -56,6 +56,16 @@ def word_pivot(found: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(*[F.count_if(F.col("sentiment") == s).alias(s) for s in SENTIMENTS])
 
 
+def counts_from_pivot(wide: DataFrame) -> DataFrame:
+    """The pivot as (sentiment, word, count) rows again, without another look at the texts."""
+    cells = F.array(*[F.struct(F.lit(s).alias("sentiment"), F.col(s).alias("count")) for s in SENTIMENTS])
+    return (
+        wide.select("word", F.inline(cells))
+        .filter(F.col("count") > 0)
+        .select("sentiment", "word", "count")
+    )
+
+
 def word_signals(wide: DataFrame, min_total: int = 300) -> DataFrame:
     total = F.col("negative") + F.col("neutral") + F.col("positive")
     return (

@@ -28,7 +28,7 @@ def hash_split(df: DataFrame, column: str = "review_text", percent: int = 80) ->
     return df.filter(bucket < percent), df.filter(bucket >= percent)
 
 
-def pipeline(vocab_size: int = 20000, min_df: int = 3, max_iter: int = 30, reg: float = 0.02) -> Pipeline:
+def text_classifier(vocab_size: int = 20000, min_df: int = 3, max_iter: int = 30, reg: float = 0.02) -> Pipeline:
     words = Tokenizer(inputCol="review_text", outputCol="words")
     kept = StopWordsRemover(inputCol="words", outputCol="kept")
     counts = CountVectorizer(inputCol="kept", outputCol="counts", vocabSize=vocab_size, minDF=min_df)
@@ -46,7 +46,7 @@ def train(labelled: DataFrame, **settings) -> PipelineModel:
     try:
         # one row per class
         weights = F.broadcast(class_weights(rows).select("label", "weight"))
-        return pipeline(**settings).fit(rows.join(weights, "label"))
+        return text_classifier(**settings).fit(rows.join(weights, "label"))
     finally:
         rows.unpersist()
 

@@ -56,15 +56,23 @@ def silver(spark: SparkSession, job: Refresh, raw: DataFrame) -> DataFrame:
 
 
 def gold(spark: SparkSession, job: Refresh, reviews: DataFrame) -> dict[str, DataFrame]:
-    found = W.tokens(reviews)
-    marts = {
+    """Marts.  Texts are split once and products summed once; what several marts need
+    is written first and read back."""
+    folder = f"{job.out}/gold"
+    bases = {
         "cube": K.cube(reviews),
-        "products": K.products(reviews, job.min_reviews),
-        "top_words": W.top_words(W.word_counts(found)),
-        "word_signals": W.word_signals(W.word_pivot(found), job.min_word_uses),
+        "product_totals": K.product_totals(reviews, job.min_reviews),
+        "words": W.word_pivot(W.tokens(reviews)),
+    }
+    write_tables(bases, folder)
+    bases = read_tables(spark, folder, bases)
+    marts = {
+        "products": K.ordered(K.rated(bases["product_totals"])),
+        "top_words": W.top_words(W.counts_from_pivot(bases["words"])),
+        "word_signals": W.word_signals(bases["words"], job.min_word_uses),
     }
-    write_tables(marts, f"{job.out}/gold")
-    return read_tables(spark, f"{job.out}/gold", marts)
+    write_tables(marts, folder)
+    return {**bases, **read_tables(spark, folder, marts)}
 
 
 def models(spark: SparkSession, job: Refresh, reviews: DataFrame) -> dict[str, DataFrame]:
@@ -111,8 +119,8 @@ def build_marts(old: dict[str, DataFrame], cells: DataFrame, totals: DataFrame)
     }
 
 
-def marts(spark: SparkSession, job: Refresh, reviews: DataFrame, cells: DataFrame) -> dict[str, DataFrame]:
-    tables = build_marts(old_marts(spark, job.previous), cells, K.product_totals(reviews, job.min_reviews))
+def marts(spark: SparkSession, job: Refresh, cells: DataFrame, totals: DataFrame) -> dict[str, DataFrame]:
+    tables = build_marts(old_marts(spark, job.previous), cells, totals)
     write_tables(tables, f"{job.out}/marts", stamp=("fact_review_aggregate", "fact_product_summary"))
     return read_tables(spark, f"{job.out}/marts", tables)
 
@@ -124,6 +132,6 @@ def refresh(spark: SparkSession, job: Refresh) -> dict[str, DataFrame]:
     tables.update(gold(spark, job, reviews))
     tables.update(models(spark, job, reviews))
     tables.update({f"star.{k}": v for k, v in star(spark, job, reviews).items()})
-    tables.update({f"mart.{k}": v for k, v in marts(spark, job, reviews, tables["cube"]).items()})
+    tables.update({f"mart.{k}": v for k, v in marts(spark, job, tables["cube"], tables["product_totals"]).items()})
     tables["load_counts"] = load_counts(dict(tables))
     return tables

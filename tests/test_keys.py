@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plaudit import staging
 from plaudit.operators.keys import content_key, dense_key
+from plaudit.operators.star import build_fact, build_star
 
 from .conftest import plan
 
@@ -57,3 +58,32 @@ def test_staging_uses_the_folder_of_the_session(spark):
     back = staging.stage(df, "case")
     assert back.collect() == df.collect() and back.schema == df.schema
     assert all(staging.staging_root(spark) in name for name in back.inputFiles())
+
+
+def test_hot_product_is_split_in_the_fact_join(spark):
+    """A third of all rows on one product, dimension too large to broadcast."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), (F.col("id") % 1000).cast("string")))
+    silver = spark.range(60_000).select(
+        hot.alias("product_name"), F.lit("c").alias("category"), F.lit(10.0).alias("price"), F.lit("b").alias("price_band"),
+        F.lit(5).alias("rating"), F.lit("positive").alias("sentiment"), F.lit(1).alias("word_count"),
+        F.sha2(F.col("id").cast("string"), 512).alias("review_text"),
+    )
+    silver = staging.stage(silver, "hot")
+    star = {name: staging.stage(df, name) for name, df in build_star(silver).items() if name != "fact_reviews"}
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "5000",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        fact = build_fact(silver, star)
+        assert len(fact.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in plan(fact)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -66,6 +66,11 @@ def test_word_signals(spark):
     assert plan(wide).count("Exchange") == 1
 
 
+def test_pivot_and_counts_hold_the_same(silver, rows):
+    found = W.tokens(silver)
+    assert rows(W.counts_from_pivot(W.word_pivot(found))) == rows(W.word_counts(found))
+
+
 def test_tokens_drop_stop_words_and_short_words(spark):
     df = spark.createDataFrame([("positive", "not a very good tv the end")], "sentiment string, review_text string")
     assert [r["word"] for r in W.tokens(df).collect()] == ["good", "end"]
