@@ -46,38 +46,43 @@ def content_key(
 ) -> DataFrame:
     """Number all rows 1..n in the order of a digest of their content.
 
-    Equal rows are collapsed to one row and a count before anything is sorted, so
-    a row repeated many times costs one row; its copies are numbered afterwards,
-    in chunks spread over the cluster.  Distinct rows fall evenly into
-    ``16 ** bucket_chars`` buckets, which are ranked independently.
+    Equal rows are collapsed to one row and a count before anything is sorted, so a
+    row repeated many times costs one row; its copies are numbered afterwards.
+    Distinct rows fall evenly into ``16 ** bucket_chars`` buckets, which are ranked
+    independently.  Only a much repeated row makes a bucket large: the copies of such
+    rows are spread over the cluster in chunks, all others are numbered in place.
     """
-    cols = list(cols or df.columns)
-    bucket = F.substring("_digest", 1, bucket_chars)
-    digested = df.withColumn("_digest", row_md5(cols))
+    columns = df.columns
+    digested = df.withColumn("_digest", row_md5(list(cols or columns)))
+    digested = digested.withColumn("_bucket", F.substring("_digest", 1, bucket_chars))
     # at most 16 ** bucket_chars rows
-    sizes = digested.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = sizes.select("_bucket", (F.sum("_rows").over(Window.orderBy("_bucket")) - F.col("_rows")).alias("_offset"))
+    sizes = stage(digested.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows")), f"{name}_buckets")
+    total, largest = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.max("_rows"), F.lit(0))).first()
+    chunk = max(chunk, 2 * total // 16**bucket_chars)
+
+    few = _placed(digested, sizes, columns).filter(F.col("_n") <= chunk)
+    few = few.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    out = [(F.col("_start") + F.col("_copy")).alias(name), *[F.col(c) for c in columns]]
+    if largest <= chunk:
+        return few.select(*out)
+    crowded = F.broadcast(sizes.filter(F.col("_rows") > chunk).select("_bucket"))
+    many = _placed(digested.join(crowded, "_bucket", "left_semi"), sizes, columns).filter(F.col("_n") > chunk)
+    last = F.call_function("div", F.col("_n") - 1, F.lit(chunk).cast("long"))
+    chunks = many.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition("_digest", "_chunk")
+    begin = F.col("_chunk") * F.lit(chunk).cast("long")
+    copies = chunks.withColumn("_copy", F.explode(F.sequence(begin + 1, F.least(F.col("_n"), begin + chunk))))
+    return few.select(*out).unionByName(copies.select(*out))
+
 
-    inside = Window.partitionBy("_bucket").orderBy("_digest", *df.columns)
+def _placed(digested: DataFrame, sizes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct rows with their count ``_n`` and the number of rows before them, ``_start``."""
+    offsets = sizes.select("_bucket", (F.sum("_rows").over(Window.orderBy("_bucket")) - F.col("_rows")).alias("_offset"))
+    inside = Window.partitionBy("_bucket").orderBy("_digest", *columns)
     before = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
-    placed = (
-        digested.groupBy("_digest", *df.columns)
+    return (
+        digested.groupBy("_bucket", "_digest", *columns)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", bucket)
         .withColumn("_inside", before)
         .join(F.broadcast(offsets), "_bucket")
         .withColumn("_start", F.col("_offset") + F.col("_inside"))
     )
-    few = placed.filter(F.col("_n") <= chunk).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-    last_chunk = F.call_function("div", F.col("_n") - 1, F.lit(chunk))
-    many = (
-        placed.filter(F.col("_n") > chunk)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
-        .repartition("_digest", "_chunk")
-        .withColumn(
-            "_copy",
-            F.explode(F.sequence(F.col("_chunk") * chunk + 1, F.least(F.col("_n"), (F.col("_chunk") + 1) * chunk))),
-        )
-    )
-    out = [(F.col("_start") + F.col("_copy")).alias(name), *[F.col(c) for c in df.columns]]
-    return few.select(*out).unionByName(many.select(*out))

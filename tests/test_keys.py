@@ -45,11 +45,16 @@ def test_content_key_numbers_every_row_once_in_any_layout(spark, rows, chunk):
     assert rows(one.drop("k")) == sorted(data, key=repr)
 
 
-def test_content_key_computes_the_ranked_rows_once(spark):
-    df = spark.createDataFrame([(str(i % 10),) for i in range(100)], "t string")
-    keyed = content_key(df, chunk=3)
-    keyed.collect()
-    assert "ReusedExchange" in plan(keyed)
+def test_content_key_splits_only_the_crowded_buckets(spark, rows):
+    plain = spark.range(300).select(F.col("id").cast("string").alias("t"))
+    assert "Union" not in plan(content_key(plain, chunk=100))
+    hot = plain.unionByName(spark.range(5000).select(F.lit("hot").alias("t")))
+    keyed = content_key(hot, chunk=100)
+    assert "LeftSemi" in plan(keyed)
+    assert sorted(r["review_key"] for r in keyed.collect()) == list(range(1, 5301))
+    hot_keys = sorted(r["review_key"] for r in keyed.filter("t = 'hot'").collect())
+    assert hot_keys == list(range(hot_keys[0], hot_keys[0] + 5000))
+    assert content_key(plain.filter("t = 'none'")).count() == 0
 
 
 def test_staging_uses_the_folder_of_the_session(spark):
