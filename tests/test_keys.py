@@ -92,3 +92,23 @@ def test_hot_product_is_split_in_the_fact_join(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+class _Session:
+    """Settings of a session that was never started."""
+
+    def __init__(self, **settings):
+        self.settings = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.staging_root(_Session(spark_master="yarn"))
+    named = _Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
+    assert staging.staging_root(named) == "hdfs:///shared"
+    local = _Session(spark_master="local[2]", spark_app_id="never-started")
+    assert staging.staging_root(local) == staging.staging_root(local)
