@@ -6,12 +6,7 @@ plans but fixed values: rule patterns, labels, step names and the stop list.
 
 from __future__ import annotations
 
-import glob
-import os
 import re
-import zipfile
-
-import pyspark
 
 from plaudit.functions.rules import CATEGORY_RULES, OTHER_CATEGORY, PRICE_BANDS, TOP_PRICE_BAND
 from plaudit.operators.quality import FUNNEL_STEPS
@@ -27,11 +22,19 @@ from plaudit.plans.registry import (
 from plaudit.sources.testdata import TEST_RULES
 
 
-def stop_list() -> list[str]:
-    """Spark's English stop words, read from its jar so that no session is needed."""
-    (jar,) = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        return archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
+# The 181 English words that Spark's StopWordsRemover takes out by default.
+STOP_WORDS = """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+    herself it its itself they them their theirs themselves what which who whom this that these those am is are
+    was were be been being have has had having do does did doing a an the and but if or because as until while of
+    at by for with about against between into through during before after above below to from up down in out on
+    off over under again further then once here there when where why how all any both each few more most other
+    some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+    we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+    they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+    mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+    would
+""".split()
 
 
 def lit(text: str) -> str:
@@ -83,7 +86,7 @@ def cents(total: str) -> str:
 RATING = "CASE WHEN regexp_matches(trim(rate), '^[+-]?[0-9]+$') THEN TRY_CAST(trim(rate) AS INTEGER) END"
 PRICE = "TRY_CAST(regexp_replace(price, '[^0-9.]', '', 'g') AS DOUBLE)"
 MONEY = "CAST(price AS DECIMAL(18, 2))"
-STOP = ", ".join(lit(w) for w in stop_list())
+STOP = ", ".join(lit(w) for w in STOP_WORDS)
 FIRST = f"received_at < TIMESTAMP '{FIRST_BATCH_ENDS} 00:00:00'"
 
 

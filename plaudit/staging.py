@@ -1,31 +1,23 @@
 """Written intermediate tables.
 
 A staged table cuts lineage and gives every reader the same rows, also after an
-executor is lost.  It lives in the folder the cluster names in
-``spark.checkpoint.dir``; only a local session without that setting falls back to
-a fresh local folder.
+executor is lost.  It lives in the folder that the session names, either in
+``spark.checkpoint.dir`` or with ``SparkContext.setCheckpointDir``.  Without one,
+staging fails: a folder of the driver's own disk would be out of the executors' reach.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
 
 def staging_root(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="plaudit-")
-    return _LOCAL_ROOTS[app]
+    return shared.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:

@@ -97,18 +97,18 @@ def test_hot_product_is_split_in_the_fact_join(spark):
 class _Session:
     """Settings of a session that was never started."""
 
-    def __init__(self, **settings):
+    def __init__(self, folder=None, **settings):
         self.settings = {key.replace("_", "."): value for key, value in settings.items()}
-        self.conf = self
+        self.conf = self.sparkContext = self
+        self.getCheckpointDir = lambda: folder
 
     def get(self, key, default=None):
         return self.settings.get(key, default)
 
 
-def test_staging_needs_a_shared_folder_on_a_cluster():
+@pytest.mark.parametrize("master", ["yarn", "local[2]", None])
+def test_staging_needs_a_named_folder(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.staging_root(_Session(spark_master="yarn"))
-    named = _Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
-    assert staging.staging_root(named) == "hdfs:///shared"
-    local = _Session(spark_master="local[2]", spark_app_id="never-started")
-    assert staging.staging_root(local) == staging.staging_root(local)
+        staging.staging_root(_Session(spark_master=master))
+    assert staging.staging_root(_Session(spark_master=master, spark_checkpoint_dir="hdfs:///shared/")) == "hdfs:///shared"
+    assert staging.staging_root(_Session(spark_master=master, folder="hdfs:///own")) == "hdfs:///own"
