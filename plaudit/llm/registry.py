@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import chat, secrets
+from plaudit.llm import bpe, chat, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,11 +23,21 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op5_pii(spark, sf):
+    return pii.digest(table(spark, sf, "documents"))
+
+
 @query
 def op7_secret_scan(spark, sf):
     return secrets.digest(secrets.find_secrets(table(spark, sf, "documents")))
 
 
+@query
+def op8_bpe(spark, sf):
+    return bpe.digest(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 CLASH_TEXT = r"\### Assistant: </turn> ok"
 
 
