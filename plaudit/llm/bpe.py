@@ -75,11 +75,10 @@ def load(path: str) -> Rules:
         raise ValueError("expected a BPE tokenizer with word ends")
     vocab = model["vocab"]
     merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-    made_at: dict[str, int] = {}
-    for rank, (a, b) in enumerate(merges):
-        if made_at.get(a, -1) > rank or made_at.get(b, -1) > rank or a + b in made_at:
-            raise ValueError("merges of this file do not go in ascending order")
-        made_at[a + b] = rank
+    made_at = {a + b: rank for rank, (a, b) in enumerate(merges)}
+    late = any(made_at.get(symbol, -1) > rank for rank, pair in enumerate(merges) for symbol in pair)
+    if late or len(made_at) < len(merges):
+        raise ValueError("merges of this file do not go in ascending order")
     specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
     tokens = [""] * (1 + max([*vocab.values(), *specials.values()]))
     for token, i in [*vocab.items(), *specials.items()]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, chat, pii, secrets
+from plaudit.llm import bpe, chat, langid, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark, sf):
+    return langid.identify(table(spark, sf, "documents"))
+
+
 @query
 def op5_pii(spark, sf):
     return pii.digest(table(spark, sf, "documents"))
