@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, chat, langid, pii, secrets
+from plaudit.llm import bpe, chat, jaccard, langid, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,3 +56,8 @@ def op9_chat_format(spark, sf):
         F.lit(CLASH_TEXT).alias("text"),
     )
     return chat.digest(chat.format_conversations(rows.unionByName(clash)))
+
+
+@query
+def op10_ngram_jaccard(spark, sf):
+    return jaccard.groups(table(spark, sf, "documents"), words=4, percent=85)
