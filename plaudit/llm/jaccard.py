@@ -17,7 +17,7 @@ and where these are more than ``MOST_FREQUENT`` (the bound of what is broadcast)
 most frequent of them.
 
 Documents with equal sets are one class.  Classes under one key are verified in two rounds:
-neighbours in order of size first; then, for keys whose classes are still in different
+a few chance neighbours of about the same size first; then, for keys whose classes are still in different
 components, all pairs between components.  Pairs inside a component need no check, so a large
 group of near copies never becomes all its pairs.  A parity bitmap of each set bounds the
 difference from below and spares most exact checks.
@@ -45,6 +45,7 @@ RARE = 16
 MOST_FREQUENT = 1 << 20
 LONG = 400
 BITMAP_BITS = 1024
+NEIGHBOURS = 8  # checked for each class in the first round
 SLOTS = 1 << 20
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -306,13 +307,19 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     rows = stage(describe(docs, words, percent, frequent, ranges), "shingles")
     grouped = rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
     classes = stage(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    order = W.partitionBy("key").orderBy("n", "cid")
+    # classes of about one size stand together, in another order under each key
+    band = F.floor(F.log("n") / float(np.log(100 / percent)))
+    order = W.partitionBy("key").orderBy(band, F.xxhash64("cid", "key"), "cid")
     listed = classes.select("cid", "n", F.explode("keys").alias("key")).select(
         "*", F.lag("cid").over(order).alias("before"), F.lag("n").over(order).alias("n_before"), F.lead("cid").over(order).alias("next")
     )
     lists = stage(listed.filter("before is not null or next is not null").drop("next"), "lists")
     chain = lists.filter("before is not null").filter(may_link(F.col("n"), F.col("n_before"), percent))
-    first = stage(chain.select(F.least("cid", "before").alias("a"), F.greatest("cid", "before").alias("b")).filter("a <> b").distinct(), "pairs")
+    # of a class's neighbours those that stand before it under most keys; the others wait for round two
+    near = chain.groupBy("cid", "before").count()
+    best = W.partitionBy("cid").orderBy(F.desc("count"), "before")
+    near = near.withColumn("_no", F.row_number().over(best)).filter(F.col("_no") <= NEIGHBOURS)
+    first = stage(near.select(F.least("cid", "before").alias("a"), F.greatest("cid", "before").alias("b")).distinct(), "pairs")
     links = verify(first, classes, docs, words, percent)
     # pairs between what are different components by now
     named = components(links).select(F.col("id").alias("cid"), F.col("component").alias("_known"))
