@@ -16,9 +16,9 @@ shingles of all documents are counted; those in more than ``RARE`` documents are
 and where these are more than ``MOST_FREQUENT`` (the bound of what is broadcast) only the
 most frequent of them.
 
-Documents with equal sets are one class.  Classes under one key are verified in two rounds:
-a few chance neighbours of about the same size first; then, for keys whose classes are still in different
-components, all pairs between components.  Pairs inside a component need no check, so a large
+Documents with equal sets are one class.  Classes under one key are verified in turns: a few
+chance neighbours of about the same size in each of the first ones; then, for keys whose
+classes are still in different components, all pairs between components.  Pairs inside a component need no check, so a large
 group of near copies never becomes all its pairs.  A parity bitmap of each set bounds the
 difference from below and spares most exact checks.
 
@@ -45,7 +45,8 @@ RARE = 16
 MOST_FREQUENT = 1 << 20
 LONG = 400
 BITMAP_BITS = 1024
-NEIGHBOURS = 8  # checked for each class in the first round
+NEIGHBOURS = 8  # checked for each class in a turn with chance neighbours
+ROUNDS = 3  # such turns
 SLOTS = 1 << 20
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -307,38 +308,47 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     rows = stage(describe(docs, words, percent, frequent, ranges), "shingles")
     grouped = rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
     classes = stage(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    # classes of about one size stand together, in another order under each key
-    band = F.floor(F.log("n") / float(np.log(100 / percent)))
-    order = W.partitionBy("key").orderBy(band, F.xxhash64("cid", "key"), "cid")
-    listed = classes.select("cid", "n", F.explode("keys").alias("key")).select(
-        "*", F.lag("cid").over(order).alias("before"), F.lag("n").over(order).alias("n_before"), F.lead("cid").over(order).alias("next")
-    )
-    lists = stage(listed.filter("before is not null or next is not null").drop("next"), "lists")
-    chain = lists.filter("before is not null").filter(may_link(F.col("n"), F.col("n_before"), percent))
-    # of a class's neighbours those that stand before it under most keys; the others wait for round two
-    near = chain.groupBy("cid", "before").count()
-    best = W.partitionBy("cid").orderBy(F.desc("count"), "before")
-    near = near.withColumn("_no", F.row_number().over(best)).filter(F.col("_no") <= NEIGHBOURS)
-    first = stage(near.select(F.least("cid", "before").alias("a"), F.greatest("cid", "before").alias("b")).distinct(), "pairs")
-    links = verify(first, classes, docs, words, percent)
-    # pairs between what are different components by now
-    named = components(links).select(F.col("id").alias("cid"), F.col("component").alias("_known"))
-    held = lists.select("key", "cid", "n").join(named, "cid", "left").select("key", "cid", "n", F.coalesce("_known", "cid").alias("comp"))
-    held = stage(held, "held")
-    main = (
-        held.groupBy("key", "comp").count().groupBy("key")
-        .agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("comps"))
-        .filter("comps > 1").select("key", "main")
-    )
-    mixed = stage(held.join(main, "key"), "mixed")
-    other = mixed.filter("comp <> main").select("key", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-    every = mixed.select("key", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), "main")
+    keyed = classes.select("cid", "n", F.explode("keys").alias("key"))
+    by_key = W.partitionBy("key").orderBy("cid")
+    shared = keyed.select("*", F.lag("cid").over(by_key).alias("_a"), F.lead("cid").over(by_key).alias("_b"))
+    lists = stage(shared.filter("_a is not null or _b is not null").select("key", "cid", "n"), "lists")
+    held = lists.withColumn("comp", F.col("cid"))
+    tried = links = spark.createDataFrame([], "a long, b long")
+    for turn in range(ROUNDS):
+        pairs = stage(chance_pairs(held, turn, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried, links = tried.unionByName(pairs), links.unionByName(verify(pairs, classes, docs, words, percent))
+        held = divided(lists, links)
+    other = held.filter("comp <> main").select("key", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
+    every = held.select("key", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), "main")
     across = other.join(every, "key").filter("comp_a <> comp_b and (comp_b = main or a < b)").filter(may_link(F.col("n_a"), F.col("n_b"), percent))
-    second = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = verify(stage(second.join(first, ["a", "b"], "left_anti"), "pairs"), classes, docs, words, percent)
+    rest = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = verify(stage(rest.join(tried, ["a", "b"], "left_anti"), "pairs"), classes, docs, words, percent)
     return rows, classes, links.unionByName(more)
 
 
+def chance_pairs(held: DataFrame, turn: int, percent: int) -> DataFrame:
+    """For each class some pairs (a, b) with classes of other components: classes of about one
+    size stand together under a key, in another order under each key and in each turn, and
+    the neighbours met under most keys count."""
+    band = F.floor(F.log("n") / float(np.log(100 / percent)))
+    order = W.partitionBy("key").orderBy(band, F.xxhash64("cid", "key", F.lit(turn)), "cid")
+    met = held.select("cid", "n", "comp", *(F.lag(c).over(order).alias(f"_{c}") for c in ("cid", "n", "comp")))
+    met = met.filter("_cid is not null and comp <> _comp").filter(may_link(F.col("n"), F.col("_n"), percent))
+    best = W.partitionBy("cid").orderBy(F.desc("count"), F.xxhash64("_cid", F.lit(turn)), "_cid")
+    kept = met.groupBy("cid", "_cid").count().withColumn("_no", F.row_number().over(best)).filter(F.col("_no") <= NEIGHBOURS)
+    return kept.select(F.least("cid", "_cid").alias("a"), F.greatest("cid", "_cid").alias("b")).distinct()
+
+
+def divided(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """Lists whose classes are in several components, with the component ``main`` that has
+    most of them."""
+    named = components(links).select(F.col("id").alias("cid"), F.col("component").alias("_known"))
+    held = stage(lists.join(named, "cid", "left").select("key", "cid", "n", F.coalesce("_known", "cid").alias("comp")), "held")
+    sizes = held.groupBy("key", "comp").count()
+    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("_comps"))
+    return stage(held.join(main.filter("_comps > 1").select("key", "main"), "key"), "divided")
+
+
 def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest
     ``doc_id`` that links reach from it."""
