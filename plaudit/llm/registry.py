@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, chat, jaccard, langid, pii, secrets
+from plaudit.llm import bpe, chat, jaccard, kneser_ney, langid, packing, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,16 @@ def op1_language_id(spark, sf):
     return langid.identify(table(spark, sf, "documents"))
 
 
+@query
+def op2_quality(spark, sf):
+    return kneser_ney.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op4_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op5_pii(spark, sf):
     return pii.digest(table(spark, sf, "documents"))
