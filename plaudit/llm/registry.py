@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, chat, jaccard, kneser_ney, langid, packing, pii, secrets
+from plaudit.llm import bpe, chat, covertree, jaccard, kneser_ney, langid, packing, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +43,11 @@ def op5_pii(spark, sf):
     return pii.digest(table(spark, sf, "documents"))
 
 
+@query
+def op6_embedding_dedup(spark, sf):
+    return covertree.deduplicate(table(spark, sf, "embeddings"))
+
+
 @query
 def op7_secret_scan(spark, sf):
     return secrets.digest(secrets.find_secrets(table(spark, sf, "documents")))
