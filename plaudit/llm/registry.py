@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, chat, covertree, jaccard, kneser_ney, langid, packing, pii, secrets
+from plaudit.llm import bpe, chat, covertree, descent, jaccard, kneser_ney, langid, packing, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,11 @@ def op2_quality(spark, sf):
     return kneser_ney.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op3_nearest_neighbours(spark, sf):
+    return descent.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op4_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
