@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from plaudit.llm.chunks import text_chunks
 from plaudit.llm.graph import components
@@ -349,14 +349,42 @@ def divided(lists: DataFrame, links: DataFrame) -> DataFrame:
     return stage(held.join(main.filter("_comps > 1").select("key", "main"), "key"), "divided")
 
 
-def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest
-    ``doc_id`` that links reach from it."""
+def named_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Rows (doc_id, n_shingles, digest, component_id) of all documents."""
     rows, classes, links = link(docs, words, percent)
     named = components(links).select(F.col("id").alias("cid"), F.col("component").alias("_c"))
     joined = stage(classes.select("cid", "digest", "rep").join(named, "cid", "left").select("digest", "rep", F.coalesce("_c", "cid").alias("_c")), "named")
     least = joined.groupBy("_c").agg(F.min("rep").alias("component_id"))
-    found = joined.join(least, "_c").select("digest", "component_id")
+    found = joined.join(least, "_c").select("digest", "component_id", "_c")
     whole = rows.filter("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "digest").join(found, "digest")
-    empty = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return whole.select("doc_id", "n_shingles", "component_id").unionByName(empty)
+    empty = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), "digest", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("_c"))
+    return whole.select(*empty.columns).unionByName(empty)
+
+
+def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest
+    ``doc_id`` that links reach from it."""
+    return named_groups(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest ``doc_id``, null last.  Rows are
+    told apart by ``doc_id`` and set, so rows equal in both are one.  Rows without words stay."""
+    found = stage(named_groups(docs, words, percent), "groups")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("_no"), "doc_id", "digest"))
+    kept = found.filter("n_shingles > 0").groupBy("_c").agg(best.alias("_k"))
+    kept = kept.select(F.col("_k.doc_id").alias("_id"), F.col("_k.digest").alias("_digest"))
+
+    def run(batches):
+        shingler = Shingler(words)
+        for batch in batches:
+            for chunk in text_chunks(batch):
+                sets = list(shingler.sets(chunk.column("text")))
+                marks = pa.array([digest(s) if len(s) else None for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*chunk.columns, marks], [*chunk.schema.names, "_mark"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_mark", T.BinaryType())])
+    marked = docs.mapInArrow(run, schema)
+    same = (F.col("_mark") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    first = marked.filter("_mark is not null").join(kept, same).dropDuplicates(["doc_id", "_mark"])
+    return first.select(*docs.columns).unionByName(marked.filter("_mark is null").select(*docs.columns))

@@ -167,23 +167,35 @@ def collect_prototypes(prototypes: DataFrame) -> tuple[list[str], np.ndarray]:
     return [lang for lang, _ in found], np.array([v for _, v in found]).reshape(len(found), DIMENSIONS)
 
 
+class Judge:
+    """Language and cosine of the rows of a chunk."""
+
+    def __init__(self, langs: list[str], units: np.ndarray):
+        self.langs, self.units = np.array(langs, dtype=object), units
+        self.profiler = Profiler()
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        bundles = self.profiler.bundles(texts)
+        norms = np.linalg.norm(bundles, axis=1)
+        has = (norms > 0) & bool(len(self.langs))
+        names, scores = np.full(len(bundles), UNKNOWN, dtype=object), np.zeros(len(bundles))
+        if has.any():
+            cosine = (bundles[has] @ self.units.T) / norms[has, None]
+            best = cosine.argmax(axis=1)
+            names[has] = self.langs[best]
+            scores[has] = cosine[np.arange(len(best)), best].clip(0, 1)
+        return names, scores
+
+
 def predict(docs: DataFrame, prototypes: DataFrame) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (cosine with the winner, 0 to 1)."""
     langs, units = collect_prototypes(prototypes)
 
     def run(batches):
-        profiler = Profiler()
+        judge = Judge(langs, units)
         for batch in batches:
             for chunk in row_chunks(batch):
-                bundles = profiler.bundles(texts_of(chunk))
-                norms = np.linalg.norm(bundles, axis=1)
-                has = (norms > 0) & bool(langs)
-                names, scores = np.full(len(bundles), UNKNOWN, dtype=object), np.zeros(len(bundles))
-                if has.any():
-                    cosine = (bundles[has] @ units.T) / norms[has, None]
-                    best = cosine.argmax(axis=1)
-                    names[has] = np.array(langs, dtype=object)[best]
-                    scores[has] = cosine[np.arange(len(best)), best].clip(0, 1)
+                names, scores = judge(texts_of(chunk))
                 yield pa.RecordBatch.from_arrays(
                     [chunk.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"]
                 )
@@ -192,6 +204,26 @@ def predict(docs: DataFrame, prototypes: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, lang_pred string, score double")
 
 
+def keep(docs: DataFrame, prototypes: DataFrame, least_cosine: float, least_chars: int) -> DataFrame:
+    """Rows whose text has letters and, from ``least_chars`` characters on, a cosine of at
+    least ``least_cosine`` with some language.  Without any language, all rows with letters."""
+    langs, units = collect_prototypes(prototypes)
+
+    def run(batches):
+        judge = Judge(langs, units)
+        for batch in batches:
+            for chunk in row_chunks(batch):
+                texts = texts_of(chunk)
+                names, scores = judge(texts)
+                short = np.fromiter((len(t) < least_chars for t in texts), bool, len(texts))
+                good = (names != UNKNOWN) & (short | (scores >= least_cosine))
+                if not langs:
+                    good = np.fromiter((any(map(str.isalpha, t)) for t in texts), bool, len(texts))
+                yield chunk.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id="doc_id"):
     """Rows whose label is kept from training."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
