@@ -124,7 +124,7 @@ CTES: dict[str, str] = {
           ELSE CAST(1 + d.doc_id % 5 AS VARCHAR) END AS rate,
         CASE WHEN d.doc_id % 11 = 0 THEN 'Nan' ELSE d.source END AS review_title,
         CASE WHEN d.doc_id % 89 = 0 THEN '!!' ELSE d.text END AS summary
-        FROM documents d JOIN part p ON p.p_partkey = d.doc_id % 37 LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+        FROM documents d JOIN part p ON p.p_partkey = d.doc_id % (SELECT count(*) FROM part) LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "delivered": "SELECT *, unnest(range(CASE WHEN doc_id % 8 = 0 THEN 2 ELSE 1 END)) AS delivery FROM numbered",
     "raw": "SELECT product_name, price, rate, review_title, summary FROM delivered",
     "unique_raw": "SELECT DISTINCT * FROM raw",
@@ -155,7 +155,7 @@ CTES: dict[str, str] = {
     "text_rows": "SELECT row_number() OVER () AS id, review_text FROM silver",
     "text_words": f"SELECT id, word FROM (SELECT id, unnest(string_split(review_text, ' ')) AS word FROM text_rows) WHERE word NOT IN ({STOP})",
     "frequencies": "SELECT word, count(*) AS count, count(DISTINCT id) AS df FROM text_words GROUP BY word",
-    "vocabulary": "SELECT * FROM frequencies WHERE df >= 3 ORDER BY count DESC, word LIMIT 20000",
+    "vocabulary": "SELECT * FROM frequencies WHERE df >= 3",
     "pairs": f"SELECT sentiment AS actual, {sentiment('1 + (rating * 7 + word_count) % 5')} AS predicted FROM silver",
     "confusion": "SELECT actual, predicted, count(*) AS reviews FROM pairs GROUP BY ALL",
     "category_keys": "SELECT CAST(row_number() OVER (ORDER BY category) AS INTEGER) AS category_key, category AS category_name FROM (SELECT DISTINCT category FROM lines)",
@@ -188,7 +188,7 @@ CTES: dict[str, str] = {
     "documents_words": f"""SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split({clean('text')}, ' ')) AS word FROM documents)
         WHERE word NOT IN ({STOP})""",
     "document_vocabulary": """SELECT word, count(*) AS count, count(DISTINCT doc_id) AS df FROM documents_words
-        GROUP BY word HAVING count(DISTINCT doc_id) >= 3 ORDER BY count DESC, word LIMIT 20000""",
+        GROUP BY word HAVING count(DISTINCT doc_id) >= 3""",
     "weights": f"""SELECT s.word, {settle('ln(((SELECT count(*) FROM silver) + 1) / (f.df + 1))', 6)} AS idf, s.neg_share AS w_negative,
         {settle('s.neutral / s.total', 3)} AS w_neutral, s.pos_share AS w_positive
         FROM signals s JOIN frequencies f USING (word) WHERE s.total >= {WORD_USES}""",
@@ -197,8 +197,9 @@ CTES: dict[str, str] = {
 }
 
 
-def _scored(source: str) -> str:
+def _scored(source: str, longest: int | None = None) -> str:
     """Scores of ``source(id, txt)`` with status and probabilities."""
+    fits = "length(txt) >= 1" if longest is None else f"length(txt) BETWEEN 1 AND {longest}"
     sums = ", ".join(f"round(coalesce(sum(w.idf * w.w_{c}), 0) + {b}, 9) AS s_{c}" for c, b in INTERCEPTS.items())
     exps = ", ".join(f"exp(s_{c} - greatest(s_negative, s_neutral, s_positive)) AS e_{c}" for c in INTERCEPTS)
     shares = ", ".join(
@@ -208,8 +209,8 @@ def _scored(source: str) -> str:
           WHEN s_negative >= s_neutral AND s_negative >= s_positive THEN 'negative' WHEN s_neutral >= s_positive THEN 'neutral' ELSE 'positive' END AS prediction, {shares}
         FROM (SELECT *, {exps} FROM (
           SELECT t.id, CASE WHEN NOT t.valid THEN 'invalid' WHEN count(w.word) = 0 THEN 'unknown' ELSE 'ok' END AS status, {sums}
-          FROM (SELECT id, coalesce(length(txt) BETWEEN 1 AND 10000, FALSE) AS valid FROM ({source})) t
-          LEFT JOIN (SELECT id, unnest(regexp_extract_all(lower(txt), '[a-z]+')) AS token FROM ({source}) WHERE length(txt) BETWEEN 1 AND 10000) k ON k.id = t.id
+          FROM (SELECT id, coalesce({fits}, FALSE) AS valid FROM ({source})) t
+          LEFT JOIN (SELECT id, unnest(regexp_extract_all(lower(txt), '[a-z]+')) AS token FROM ({source}) WHERE {fits}) k ON k.id = t.id
           LEFT JOIN weights w ON w.word = k.token GROUP BY t.id, t.valid))"""
 
 
@@ -421,7 +422,7 @@ BODIES: dict[str, str] = {
         (SELECT product_name, review_text, CAST(CAST('0x' || substr(md5(review_text), 1, 6) AS INTEGER) % 100 AS INTEGER) AS bucket FROM silver)""",
     "ml_class_weights": """SELECT CAST(CASE sentiment WHEN 'negative' THEN 0 WHEN 'neutral' THEN 1 ELSE 2 END AS DOUBLE) AS label, count(*) AS n,
         CAST((SELECT count(*) FROM lines) AS DOUBLE) / ((SELECT count(DISTINCT sentiment) FROM lines) * count(*)) AS weight FROM lines GROUP BY sentiment""",
-    "ml_vocabulary": "SELECT word, count, df FROM vocabulary",
+    "ml_vocabulary": "SELECT word, count, df FROM vocabulary ORDER BY count DESC, word LIMIT 20000",
     "ml_idf": f"SELECT word, df, {settle('ln(((SELECT count(*) FROM silver) + 1) / (df + 1))', 6)} AS idf FROM vocabulary",
     "ml_tfidf": f"""SELECT doc_id, word, tf, {settle('tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1))', 6)} AS tfidf
         FROM (SELECT doc_id, word, count(*) AS tf FROM documents_words GROUP BY ALL) JOIN document_vocabulary USING (word)""",
@@ -435,7 +436,7 @@ BODIES: dict[str, str] = {
     ),
     "ml_metrics": _metrics("3-class", "SELECT * FROM pairs", THREE),
     "ml_score": f"SELECT id AS doc_id, status, prediction, p_negative, p_neutral, p_positive FROM ({_scored('SELECT doc_id AS id, text AS txt FROM documents')})",
-    "ml_score_unknown": f"SELECT id AS doc_id, status, prediction FROM ({_scored('SELECT doc_id AS id, summary AS txt FROM numbered')}) WHERE status <> 'ok'",
+    "ml_score_unknown": f"SELECT id AS doc_id, status, prediction FROM ({_scored('SELECT doc_id AS id, summary AS txt FROM numbered', 10000)}) WHERE status <> 'ok'",
     "ingest_incremental": f"SELECT product_name, price, rate, review_title, {ONE_LINE} AS summary FROM numbered",
     "bench_cat_sentiment": "SELECT category, sentiment, count(*) AS reviews FROM lines GROUP BY ALL",
     "bench_cat_band": "SELECT category, price_band, count(*) AS reviews, avg(rating) AS avg_rating FROM lines GROUP BY ALL",

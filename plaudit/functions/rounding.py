@@ -10,26 +10,28 @@ MONEY = "decimal(18,2)"
 def ratio(numerator: Column, denominator: Column, digits: int, empty: float | None = None) -> Column:
     """``numerator / denominator`` rounded half up to ``digits`` places.
 
-    Both sides must be integer columns.  A zero denominator gives ``empty``.
+    Both sides must be whole numbers.  A zero denominator gives ``empty``.  Products are
+    made in 38 digits, so sums over any table fit; only the quotient must fit a long.
     """
     scale = 10**digits
-    bottom = F.nullif(denominator.cast("long"), F.lit(0).cast("long"))
-    steps = F.call_function("div", numerator.cast("long") * F.lit(2 * scale).cast("long") + bottom, bottom * 2)
+    wide = lambda c: c.cast("decimal(28,0)")
+    bottom = F.nullif(wide(denominator), wide(F.lit(0)))
+    steps = F.call_function("div", wide(numerator) * F.lit(2 * scale).cast("decimal(9,0)") + bottom, bottom * F.lit(2).cast("decimal(9,0)"))
     value = steps.cast("double") / F.lit(float(scale))
     return value if empty is None else F.coalesce(value, F.lit(float(empty)))
 
 
 def percent(part: Column, whole: Column, digits: int = 1, empty: float | None = None) -> Column:
-    return ratio(part.cast("long") * 100, whole, digits, empty)
+    return ratio(part.cast("decimal(20,0)") * 100, whole, digits, empty)
 
 
 def cents(amount: Column) -> Column:
     """A two-decimal money column as a whole number of cents."""
-    return (amount * 100).cast("long")
+    return (amount * 100).cast("decimal(28,0)")
 
 
 def mean_money(total: Column, n: Column, digits: int = 0, empty: float | None = None) -> Column:
-    return ratio(cents(total), n.cast("long") * 100, digits, empty)
+    return ratio(cents(total), n.cast("decimal(20,0)") * 100, digits, empty)
 
 
 def settle(value: Column, digits: int) -> Column:

@@ -25,9 +25,10 @@ def word_frequencies(texts: DataFrame, src: str = "review_text", stop_words: Seq
     )
 
 
-def vocabulary(frequencies: DataFrame, size: int = 20000, min_df: int = 3) -> DataFrame:
-    """The ``size`` most used words found in at least ``min_df`` texts."""
-    return frequencies.filter(F.col("df") >= min_df).orderBy(F.desc("count"), "word").limit(size)
+def vocabulary(frequencies: DataFrame, size: int | None = None, min_df: int = 3) -> DataFrame:
+    """The words found in at least ``min_df`` texts; with ``size``, only the most used of them."""
+    known = frequencies.filter(F.col("df") >= min_df)
+    return known if size is None else known.orderBy(F.desc("count"), "word").limit(size)
 
 
 def idf(words: DataFrame, texts: DataFrame) -> DataFrame:

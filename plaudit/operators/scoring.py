@@ -10,7 +10,7 @@ from plaudit.functions.rounding import settle
 from plaudit.functions.rules import SENTIMENTS, first_match
 from plaudit.functions.text import letter_tokens
 
-LONGEST_TEXT = 10_000
+LONGEST_TEXT = 10_000  # of one request to a scoring service; bulk jobs take texts of any length
 
 
 def score(
@@ -19,13 +19,13 @@ def score(
     intercepts: Mapping[str, float],
     id_cols: Sequence[str],
     text: str = "text",
-    max_chars: int | None = LONGEST_TEXT,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Class probabilities for every text of a table.
 
     ``weights`` holds ``word, idf`` and ``w_<class>``.  ``id_cols`` must identify a
     text.  ``status`` is 'ok', 'unknown' (no word of the text has a weight) or
-    'invalid' (empty or too long); only 'ok' rows get a prediction.  The words of a
+    'invalid' (empty, or longer than ``max_chars``); only 'ok' rows get a prediction.  The words of a
     text are summed up inside its task, so the shuffle carries ids and sums only.
     """
     length = F.length(text)

@@ -17,7 +17,7 @@ from plaudit.operators import quality as Q
 from plaudit.operators import star as S
 from plaudit.operators import timing
 from plaudit.operators import words as W
-from plaudit.operators.scoring import score
+from plaudit.operators.scoring import LONGEST_TEXT, score
 from plaudit.plans import catalog, model as ML, named, serving
 from plaudit.plans.refresh import build_marts
 from plaudit.plans.silver import to_silver
@@ -42,7 +42,7 @@ QUERIES: dict[str, Query] = {}
 # thresholds that leave groups at the sizes of the test tables
 PRODUCT_REVIEWS = 50
 WORST_REVIEWS = 75
-RAW_PRODUCT_REVIEWS = 27
+VOCABULARY = 20000  # words of the model's feature list
 WORD_USES = 50
 FIRST_BATCH_ENDS = "1995-02-01"
 CATEGORY, BAND = "ECONOMY", "4. 3,000-9,999"
@@ -641,7 +641,7 @@ def ml_class_weights(spark, sf):
 
 @query
 def ml_vocabulary(spark, sf):
-    return X.vocabulary(X.word_frequencies(_silver(spark, sf)))
+    return X.vocabulary(X.word_frequencies(_silver(spark, sf)), VOCABULARY)
 
 
 @query
@@ -704,7 +704,7 @@ def ml_score(spark, sf):
 @query
 def ml_score_unknown(spark, sf):
     texts = numbered_reviews(spark, sf).select("doc_id", "summary")
-    scored = score(texts, _word_weights(spark, sf), INTERCEPTS, ["doc_id"], text="summary")
+    scored = score(texts, _word_weights(spark, sf), INTERCEPTS, ["doc_id"], text="summary", max_chars=LONGEST_TEXT)
     return scored.filter(F.col("status") != "ok").select("doc_id", "status", "prediction")
 
 

@@ -14,33 +14,23 @@ TEST_RULES = (
     (r"^blue|gizmo|widget", "Gadgets"),
 )
 
-PRODUCTS = 37  # reviewed products among the parts
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(source: DataFrame, *columns: str) -> DataFrame:
-    """Columns of a stored table, redistributed once when it has fewer splits than there
-    are cores, as the one-row-group test files do.  Larger input stays where it is."""
-    cores = source.sparkSession.sparkContext.defaultParallelism
-    few = source.select(columns[0]).rdd.getNumPartitions() < cores
-    return source.select(*columns).repartition(cores) if few else source.select(*columns)
+    """Columns of a stored table in even partitions.  A hint: adaptive execution splits the
+    few row groups of the test files and leaves larger input in partitions of its own size."""
+    return source.select(*columns).hint("rebalance")
 
 
 def numbered_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dirty review per document, with its ``doc_id``."""
     d, p, l = (table(spark, sf_dir, name) for name in ("documents", "part", "labels"))
     key = F.col("doc_id")
-    # the join key takes 37 values, so at most 37 parts are read and broadcast
-    p = F.broadcast(
-        p.filter(F.col("p_partkey").between(0, PRODUCTS - 1)).select(
-            F.col("p_partkey").alias("_part"),
-            F.concat_ws(" ", "p_name", "p_brand").alias("product_name"),
-            "p_retailprice",
-        )
-    )
+    # reviews go round all parts
+    parts = p.agg(F.count(F.lit(1)).alias("n")).scalar()
+    p = p.select(F.col("p_partkey").alias("_part"), F.concat_ws(" ", "p_name", "p_brand").alias("product_name"), "p_retailprice")
     factor = F.when(key % 12 == 0, F.lit(0.5)).otherwise((key % 12).cast("double"))
     amount = (F.col("p_retailprice") * factor).cast("decimal(12,2)").cast("string")
     rating = (
@@ -51,7 +41,7 @@ def numbered_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         spread(d, "doc_id", "text", "source")
-        .withColumn("_part", key % PRODUCTS)
+        .withColumn("_part", key % parts)
         .join(p, "_part")
         .join(l, "doc_id", "left")
         .select(
