@@ -133,7 +133,7 @@ CTES: dict[str, str] = {
         value AS price, {band('value')} AS price_band, rating, {sentiment('rating')} AS sentiment,
         nullif(review_title, 'Nan') AS review_title, review_text,
         CAST(len(string_split(review_text, ' ')) AS INTEGER) AS word_count
-        FROM checked WHERE rating BETWEEN 1 AND 5 AND value > 0 AND length(review_text) >= 2""",
+        FROM checked WHERE rating BETWEEN 1 AND 5 AND value > 0 AND value < 1e10 AND length(review_text) >= 2""",
     "lines": f"""SELECT p.p_name || ' ' || p.p_brand AS product_name, p.p_type AS category, l.l_extendedprice AS price,
         {band('l.l_extendedprice')} AS price_band, CAST(1 + CAST(l.l_quantity AS INTEGER) % 5 AS INTEGER) AS rating,
         {sentiment('1 + CAST(l.l_quantity AS INTEGER) % 5')} AS sentiment,
@@ -255,8 +255,8 @@ def _funnel() -> str:
         "SELECT count(*) FROM raw",
         "SELECT count(*) FROM checked",
         "SELECT count(*) FROM checked WHERE rating BETWEEN 1 AND 5",
-        "SELECT count(*) FROM checked WHERE rating BETWEEN 1 AND 5 AND value > 0",
-        "SELECT count(*) FROM checked WHERE rating BETWEEN 1 AND 5 AND value > 0 AND length(review_text) >= 2",
+        "SELECT count(*) FROM checked WHERE rating BETWEEN 1 AND 5 AND value > 0 AND value < 1e10",
+        "SELECT count(*) FROM checked WHERE rating BETWEEN 1 AND 5 AND value > 0 AND value < 1e10 AND length(review_text) >= 2",
     ]
     rows = " UNION ALL ".join(f"SELECT {lit(step)} AS step, ({c}) AS rows" for step, c in zip(FUNNEL_STEPS, counts))
     return f"SELECT step, rows, lag(rows) OVER (ORDER BY step) - rows AS removed FROM ({rows})"
@@ -310,7 +310,7 @@ BODIES: dict[str, str] = {
     "silver_dedup": f"SELECT {BRONZE} FROM unique_raw",
     "silver_valid_rating": f"SELECT product_name, rate, rating FROM (SELECT *, {RATING} AS rating FROM raw) WHERE rating BETWEEN 1 AND 5",
     "silver_price_parse": f"SELECT price, {PRICE} AS value FROM raw",
-    "silver_valid_price": f"SELECT product_name, value AS price FROM (SELECT *, {PRICE} AS value FROM raw) WHERE value > 0",
+    "silver_valid_price": f"SELECT product_name, value AS price FROM (SELECT *, {PRICE} AS value FROM raw) WHERE value > 0 AND value < 1e10",
     "silver_text_clean": f"SELECT summary, {clean('summary')} AS review_text FROM raw",
     "silver_nonempty_text": f"SELECT product_name, review_text FROM (SELECT product_name, {clean('summary')} AS review_text FROM raw) WHERE length(review_text) >= 2",
     "silver_name_tidy": f"""SELECT arrived, {tidy('arrived')} AS product_name FROM (SELECT ' ??' || chr(65533) ||

@@ -29,10 +29,18 @@ def rating_value():
     return F.col("rate").try_cast("int")
 
 
+# what the price column of the star schema can hold; larger numbers come from joined digits
+LARGEST_PRICE = 1e10
+
+
 def price_value():
     return F.regexp_replace("price", "[^0-9.]", "").try_cast("double")
 
 
+def price_fits(value):
+    return (value > 0) & (value < LARGEST_PRICE)
+
+
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     """Whole-row distinct, NULLs equal.  Copies collapse before the shuffle."""
     return df.dropDuplicates()
@@ -46,10 +54,11 @@ def parse_price(df: DataFrame, strict: bool = False) -> DataFrame:
     """Price text to a positive number.
 
     The sign is dropped and stray dots are kept ("Rs. 500" reads as 0.5).
-    ``strict`` keeps only prices that can be read one way; see ``unclear_prices``.
+    Numbers that no price column can hold are no prices; the quality report counts them
+    with the step.  ``strict`` keeps only prices that can be read one way; see ``unclear_prices``.
     """
     source = df.filter(F.col("price").rlike(_CLEAR_PRICE)) if strict else df
-    return source.withColumn("price", price_value()).filter(F.col("price").isNotNull() & (F.col("price") > 0))
+    return source.withColumn("price", price_value()).filter(price_fits(F.col("price")))
 
 
 def unclear_prices(df: DataFrame) -> DataFrame:

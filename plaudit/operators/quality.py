@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plaudit.functions.digest import row_digest
 from plaudit.functions.text import has_two_letters
-from plaudit.operators.clean import price_value, rating_value
+from plaudit.operators.clean import price_fits, price_value, rating_value
 
 # ---- fixed values: step names of the report ---------------------------------
 FUNNEL_STEPS = (
@@ -26,7 +26,7 @@ def silver_checks() -> list[Column]:
     """What a distinct row must pass, in funnel order."""
     return [
         rating_value().between(1, 5),
-        price_value() > 0,
+        price_fits(price_value()),
         has_two_letters(F.col("summary")),
     ]
 

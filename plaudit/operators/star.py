@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     DecimalType,
@@ -17,6 +15,7 @@ from pyspark.sql.types import (
 
 from plaudit.functions.rules import SENTIMENTS
 from plaudit.operators.keys import content_key, dense_key
+from plaudit.staging import stage
 
 STAR_TABLES = ("dim_category", "dim_product", "dim_price_band", "dim_sentiment", "fact_reviews")
 
@@ -35,12 +34,10 @@ FACT_SCHEMA = StructType(
 )
 
 
-def static_dim(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
-
-
 def sentiment_dim(spark: SparkSession) -> DataFrame:
-    return static_dim(spark, list(enumerate(SENTIMENTS, start=1)), "sentiment_key int, sentiment string")
+    """A relation of literals, whose size Spark knows when it plans a join."""
+    rows = ", ".join(f"({key}, '{name}')" for key, name in enumerate(SENTIMENTS, start=1))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(sentiment_key, sentiment)")
 
 
 def name_dim(df: DataFrame, column: str, key: str, name: str) -> DataFrame:
@@ -86,18 +83,24 @@ def build_fact(silver: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def build_dims(silver: DataFrame) -> dict[str, DataFrame]:
+    """Dimensions from one pass over the reviews: their distinct names are written once."""
+    names = stage(silver.select("product_name", "category", "price_band").distinct(), "names")
+    category = stage(name_dim(names, "category", "category_key", "category_name"), "dim_category")
+    return {
+        "dim_category": category,
+        "dim_product": product_dim(names, category),
+        "dim_price_band": name_dim(names, "price_band", "price_band_key", "price_band"),
+        "dim_sentiment": sentiment_dim(silver.sparkSession),
+    }
+
+
 def build_star(silver: DataFrame, unknown_product: str | None = None) -> dict[str, DataFrame]:
     """All star tables.  Rows without a product name have no dimension row and are
     left out, unless ``unknown_product`` names a member for them."""
     if unknown_product is not None:
         silver = silver.fillna(unknown_product, ["product_name"])
-    category = name_dim(silver, "category", "category_key", "category_name")
-    dims = {
-        "dim_category": category,
-        "dim_product": product_dim(silver, category),
-        "dim_price_band": name_dim(silver, "price_band", "price_band_key", "price_band"),
-        "dim_sentiment": sentiment_dim(silver.sparkSession),
-    }
+    dims = {name: df if name == "dim_sentiment" else stage(df, name) for name, df in build_dims(silver).items()}
     return {**dims, "fact_reviews": build_fact(silver, dims)}
 
 

@@ -14,6 +14,7 @@ from plaudit.functions.rules import SENTIMENTS
 from plaudit.operators.clean import keep_nonempty, label
 from plaudit.operators.metrics import class_report, class_weights, confusion, metrics
 from plaudit.operators.scoring import parity, score
+from plaudit.staging import stage
 
 TWO_CLASSES = ("negative", "positive")
 
@@ -71,7 +72,8 @@ def train_and_test(silver: DataFrame, classes: Sequence[str] = SENTIMENTS, **set
 
 
 def evaluate(predicted: DataFrame, name: str, classes: Sequence[str] = SENTIMENTS) -> dict[str, DataFrame]:
-    cells = confusion(predicted)
+    # a row per pair of classes; the model runs over the test rows once
+    cells = stage(confusion(predicted), "confusion")
     return {
         "confusion_matrix": cells,
         "model_class_report": class_report(cells, classes),
@@ -95,7 +97,8 @@ def export_weights(model: PipelineModel, spark: SparkSession) -> tuple[DataFrame
         for i, (word, weight) in enumerate(zip(vectorizer.vocabulary, scaler.idf.toArray()))
     ]
     columns = ", ".join(f"w_{c} double" for c in SENTIMENTS)
-    weights = spark.createDataFrame(rows, f"word string, idf double, {columns}")
+    # stored, so that a scoring join knows its size
+    weights = stage(spark.createDataFrame(rows, f"word string, idf double, {columns}"), "model_weights")
     start = [tuple(float(x) for x in classifier.interceptVector.toArray())]
     return weights, spark.createDataFrame(start, ", ".join(f"{c} double" for c in SENTIMENTS))
 

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plaudit.functions.rules import CATEGORY_RULES, SENTIMENTS
 from plaudit.operators import cube as K
 from plaudit.operators import merge as M
 from plaudit.operators import words as W
-from plaudit.operators.quality import assert_written, load_counts, quality_funnel
-from plaudit.operators.star import build_star, keyed_fact
-from plaudit.plans import model as ML
+from plaudit.operators.quality import assert_written, check_constraints, load_counts, orphans, quality_funnel
+from plaudit.operators.star import STAR_TABLES, build_dims, build_fact, fact_rules, keyed_fact
+from plaudit.plans import model as ML, named
+from plaudit.plans.catalog import save_partitioned
 from plaudit.plans.silver import to_silver
-from plaudit.sources.tables import read_table, read_tables, write_table, write_tables
+from plaudit.sources.raw import BRONZE_COLUMNS
+from plaudit.sources.tables import read_table, read_tables, save_tables, write_table, write_tables
 from plaudit.staging import stage
 from plaudit.streaming.ingest import ingest_new
 
@@ -38,12 +40,28 @@ class Refresh:
     min_reviews: int = 100
     min_word_uses: int = 300
     model: dict = field(default_factory=dict)
+    database: str | None = None  # catalog database of the gold tables and the partitioned reviews
+
+
+class RefreshFailed(AssertionError):
+    """A table that was just written breaks its rules."""
+
+
+def checked(report: DataFrame) -> DataFrame:
+    """The report (rule, violations), if nothing is violated."""
+    broken = report.filter("violations > 0").collect()
+    if broken:
+        raise RefreshFailed("; ".join(f"{r['rule']}: {r['violations']}" for r in broken))
+    return report
 
 
 def bronze(spark: SparkSession, job: Refresh) -> DataFrame:
     """Append new raw files.  Bronze grows across refreshes, so it sits beside them."""
     ingest_new(spark, job.raw, f"{job.raw.rstrip('/')}-bronze", f"{job.raw.rstrip('/')}-ingested")
-    return read_table(spark, f"{job.raw.rstrip('/')}-bronze")
+    stored = read_table(spark, f"{job.raw.rstrip('/')}-bronze")
+    if not set(BRONZE_COLUMNS) <= set(stored.columns) or stored.isEmpty():
+        raise RefreshFailed(f"bronze holds no rows or lacks columns: {stored.columns}")
+    return stored
 
 
 def silver(spark: SparkSession, job: Refresh, raw: DataFrame) -> DataFrame:
@@ -87,9 +105,40 @@ def models(spark: SparkSession, job: Refresh, reviews: DataFrame) -> dict[str, D
 
 
 def star(spark: SparkSession, job: Refresh, reviews: DataFrame) -> dict[str, DataFrame]:
-    tables = build_star(reviews)
-    write_tables({**tables, "fact_reviews": keyed_fact(tables["fact_reviews"])}, f"{job.out}/star")
-    return read_tables(spark, f"{job.out}/star", tables)
+    """Dimensions are written first, so that the fact joins see their real size."""
+    folder = f"{job.out}/star"
+    dims = build_dims(reviews)
+    write_tables(dims, folder)
+    dims = read_tables(spark, folder, dims)
+    write_table(keyed_fact(build_fact(reviews, dims)), f"{folder}/fact_reviews")
+    return {**dims, **read_tables(spark, folder, ["fact_reviews"])}
+
+
+def star_checks(star: dict[str, DataFrame], reviews: DataFrame) -> DataFrame:
+    """Row rules, the key, rows without their dimension row, and reviews that the inner
+    joins with the dimensions lost."""
+    fact = star["fact_reviews"]
+    report = check_constraints(fact, fact_rules(), ["review_key"])
+    for table, key in (("dim_product", "product_key"), ("dim_price_band", "price_band_key"), ("dim_sentiment", "sentiment_key")):
+        found = orphans(fact, star[table], [key])
+        report = report.unionByName(found.select(F.lit(f"orphans of {table}").alias("rule"), F.col("orphans").alias("violations")))
+    named_reviews = reviews.filter(F.col("product_name").isNotNull()).agg(F.count(F.lit(1)).alias("n")).scalar()
+    lost = fact.agg((named_reviews - F.count(F.lit(1))).alias("violations"))
+    return report.unionByName(lost.select(F.lit("reviews without a fact row").alias("rule"), "violations"))
+
+
+def publish(spark: SparkSession, job: Refresh, gold_tables: dict[str, DataFrame], reviews: DataFrame) -> None:
+    """Gold tables and the partitioned reviews in the catalog."""
+    save_tables({f"gold_{name}": df for name, df in gold_tables.items() if name not in ("cube", "words", "product_totals")}, job.database)
+    save_partitioned(reviews, f"{job.database}.reviews")
+
+
+def analyses(spark: SparkSession, job: Refresh, star: dict[str, DataFrame], metrics: DataFrame) -> None:
+    """Answers of the ten named analyses."""
+    named.register_star({name: star[name] for name in STAR_TABLES})
+    metrics.createOrReplaceTempView("gold_model_metrics")
+    for n in range(1, 11):
+        write_table(named.run_named(spark, f"q{n:02d}"), f"{job.out}/analyses/q{n:02d}")
 
 
 def old_marts(spark: SparkSession, previous: str | None) -> dict[str, DataFrame]:
@@ -129,9 +178,16 @@ def refresh(spark: SparkSession, job: Refresh) -> dict[str, DataFrame]:
     """Bronze, silver, gold, models, warehouse; a failing stage ends the run."""
     reviews = silver(spark, job, bronze(spark, job))
     tables = {"silver": reviews}
-    tables.update(gold(spark, job, reviews))
-    tables.update(models(spark, job, reviews))
-    tables.update({f"star.{k}": v for k, v in star(spark, job, reviews).items()})
+    gold_tables = {**gold(spark, job, reviews), **models(spark, job, reviews)}
+    tables.update(gold_tables)
+    if job.database:
+        publish(spark, job, gold_tables, reviews)
+    stars = star(spark, job, reviews)
+    write_table(star_checks(stars, reviews), f"{job.out}/checks")
+    checks = checked(read_table(spark, f"{job.out}/checks"))
+    analyses(spark, job, stars, tables["model_metrics"])
+    tables.update({f"star.{k}": v for k, v in stars.items()})
     tables.update({f"mart.{k}": v for k, v in marts(spark, job, tables["cube"], tables["product_totals"]).items()})
     tables["load_counts"] = load_counts(dict(tables))
+    tables["checks"] = checks
     return tables

@@ -29,22 +29,24 @@ def write_table(
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None, require: bool = True) -> DataFrame:
     """Read Parquet, only the named columns, after checking that the input exists."""
-    if require:
-        require_inputs(spark, [path])
-    df = spark.read.parquet(path)
+    df = open_inputs(spark, [path])[0] if require else spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 
-def require_inputs(spark: SparkSession, paths: Iterable[str]) -> None:
-    """Fail before any work starts when an input is absent, naming all absent ones."""
-    missing = []
+def open_inputs(spark: SparkSession, paths: Iterable[str]) -> list[DataFrame]:
+    """Parquet inputs, opened once; fails before any work starts when one is absent, naming
+    all absent ones.  Any other fault of an input is raised as it is."""
+    opened, missing = [], []
     for path in paths:
         try:
-            spark.read.format("binaryFile").load(path)
-        except AnalysisException:
+            opened.append(spark.read.parquet(path))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             missing.append(path)
     if missing:
         raise FileNotFoundError("missing inputs: " + ", ".join(missing))
+    return opened
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, stamp: Iterable[str] = ()) -> None:
@@ -62,8 +64,7 @@ def save_tables(tables: dict[str, DataFrame], database: str) -> None:
 
 def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
     names = list(names)
-    require_inputs(spark, [f"{folder}/{name}" for name in names])
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+    return dict(zip(names, open_inputs(spark, [f"{folder}/{name}" for name in names])))
 
 
 def load_marts(spark: SparkSession, folder: str, names: Iterable[str], skip: Iterable[str] = ("model_weights",)) -> list[str]:

@@ -3,9 +3,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks import compare
-from checks.duckdb_sql import stop_list
-from plaudit.operators.words import english_stop_words
-from plaudit.plans.refresh import Refresh, refresh
+from checks.duckdb_sql import statements
+from plaudit.plans.refresh import Refresh, RefreshFailed, checked, refresh
+from plaudit.plans.registry import QUERIES
 from plaudit.sources.raw import RAW_NAMES, read_raw, rename_columns, write_csv
 from plaudit.sources.testdata import TEST_RULES, raw_reviews
 from plaudit.streaming.ingest import ingest_new
@@ -58,8 +58,8 @@ def test_ingest_adds_each_file_once(spark, tmp_path):
 def refreshed(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("run")
     deliver(raw_reviews(spark, SMALL), f"{base}/raw")
-    settings = dict(rules=TEST_RULES, min_reviews=3, min_word_uses=20, model={"max_iter": 3})
-    first = refresh(spark, Refresh(raw=f"{base}/raw", out=f"{base}/day1", **settings))
+    settings = dict(rules=TEST_RULES, min_reviews=1, min_word_uses=20, model={"max_iter": 3})
+    first = refresh(spark, Refresh(raw=f"{base}/raw", out=f"{base}/day1", database="shop", **settings))
     second = refresh(spark, Refresh(raw=f"{base}/raw", out=f"{base}/day2", previous=f"{base}/day1", **settings))
     return base, first, second
 
@@ -74,6 +74,23 @@ def test_refresh_builds_every_table(spark, refreshed):
     assert "refreshed_at" in first["mart.fact_review_aggregate"].columns
 
 
+def test_refresh_leaves_tables_checks_and_analyses(spark, refreshed):
+    base, first, _ = refreshed
+    report = {r["rule"]: r["violations"] for r in first["checks"].collect()}
+    assert "unique review_key" in report and "orphans of dim_product" in report and set(report.values()) == {0}
+    assert spark.table("shop.gold_model_metrics").count() == 4
+    assert spark.table("shop.reviews").count() == first["silver"].count()
+    answers = [spark.read.parquet(f"{base}/day1/analyses/q{n:02d}") for n in range(1, 11)]
+    assert answers[0].count() > 0 and answers[9].count() > 0
+
+
+def test_a_violation_stops_the_run(spark):
+    report = spark.createDataFrame([("rating 1..5", 2), ("other", 0)], "rule string, violations long")
+    with pytest.raises(RefreshFailed, match="rating 1..5: 2"):
+        checked(report)
+    assert checked(report.filter("violations = 0")).count() == 1
+
+
 def test_second_refresh_changes_nothing(refreshed, rows):
     _, first, second = refreshed
     for name in first:
@@ -91,16 +108,13 @@ def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_statements_use_the_stop_words_of_spark(spark):
-    assert stop_list() == english_stop_words()
-
-
 def test_every_statement_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(entry.queries()) - len(entry.oracle_sql()) == 4
+    assert set(statements()) <= set(QUERIES) <= set(entry.queries())
+    assert len(QUERIES) - len(statements()) == 4
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(statements()))
 def test_query_equals_duckdb(spark, name):
     df = entry.queries()[name](spark, SMALL)
     result = compare.connect(SMALL).execute(entry.oracle_sql()[name])
@@ -110,7 +124,7 @@ def test_query_equals_duckdb(spark, name):
 
 
 def test_no_query_uses_python_workers_or_cross_joins(spark):
-    for name, run in entry.queries().items():
+    for name, run in QUERIES.items():
         if name.startswith(("ml_weights", "ml_intercepts", "ml_predictions", "ml_score_parity")):
             continue
         text = plan(run(spark, SMALL))

@@ -56,3 +56,37 @@ def test_written_table_check(spark):
     except AssertionError:
         return
     raise AssertionError("a changed type must be noticed")
+
+
+def test_prices_no_column_can_hold_are_counted_rejects(spark):
+    from plaudit.operators.clean import parse_price
+    from plaudit.operators.quality import quality_funnel
+
+    row = ("p", "5", "t", "fine words")
+    raw = spark.createDataFrame([(*row, "10"), (*row, "100000000000000000")], "product_name string, rate string, review_title string, summary string, price string")
+    assert [r["price"] for r in parse_price(raw).collect()] == [10.0]
+    assert [(r["rows"], r["removed"]) for r in quality_funnel(raw).orderBy("step").collect()][3] == (1, 1)
+
+
+def test_money_and_ratios_of_very_many_rows(spark):
+    from pyspark.sql import functions as F
+
+    from plaudit.functions.rounding import mean_money, percent, ratio
+
+    big = spark.sql("SELECT CAST('123456789012345678.00' AS DECIMAL(28,2)) AS total, 1000000000000 AS n, 250000000000 AS part")
+    r = big.select(mean_money(F.col("total"), F.col("n"), 2), percent(F.col("part"), F.col("n")), ratio(F.col("n") * 4, F.col("n"), 2)).first()
+    assert tuple(r) == (123456.79, 25.0, 4.0)
+
+
+def test_median_by_places_equals_numpy(spark):
+    import numpy as np
+
+    from plaudit.operators.timing import median_times
+
+    rng = np.random.default_rng(0)
+    rows = [("abc"[i % 3], float(v)) for i, v in enumerate(rng.random(301))] + [("d", None), ("one", 2.5)]
+    out = {r["engine"]: (r["runs"], r["seconds"]) for r in median_times(spark.createDataFrame(rows, "engine string, seconds double").repartition(7)).collect()}
+    for engine in "abc":
+        mine = [v for e, v in rows if e == engine]
+        assert out[engine] == (len(mine), np.floor(np.median(mine) * 1e4 + 0.5) / 1e4)
+    assert out["d"] == (1, None) and out["one"] == (1, 2.5)

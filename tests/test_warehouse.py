@@ -8,7 +8,7 @@ from plaudit.operators import star as S
 from plaudit.plans import catalog, named
 from plaudit.plans.refresh import build_marts, old_marts
 from plaudit.plans.silver import to_silver
-from plaudit.sources.tables import load_marts, read_table, require_inputs, save_tables, write_table
+from plaudit.sources.tables import load_marts, read_table, open_inputs, save_tables, write_table
 from plaudit.sources.testdata import TEST_RULES, line_reviews, raw_reviews
 from plaudit.staging import stage
 
@@ -146,7 +146,7 @@ def test_tables_and_marts(spark, tmp_path):
     back = read_table(spark, f"{tmp_path}/t", columns=["a", "refreshed_at"])
     assert back.first()["refreshed_at"] is not None
     with pytest.raises(FileNotFoundError, match="absent"):
-        require_inputs(spark, [f"{tmp_path}/t", f"{tmp_path}/absent"])
+        open_inputs(spark, [f"{tmp_path}/t", f"{tmp_path}/absent"])
     for name in ("products", "model_weights"):
         write_table(df, f"{tmp_path}/{name}", format="csv")
     assert load_marts(spark, str(tmp_path), ["products", "model_weights"]) == ["gold_products"]
