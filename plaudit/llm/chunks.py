@@ -26,3 +26,31 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_B
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts, null as empty."""
     return [text or "" for text in batch.column(column).to_pylist()]
+
+
+def runs(batches, key: str, most: int | None = None):
+    """Runs of rows with one value of ``key`` in sorted batches, also across batches; with
+    ``most``, in pieces of that many rows."""
+    held: list[pa.Table] = []
+    value = None
+
+    def whole():
+        rows = pa.concat_tables(held)
+        step = most or max(1, rows.num_rows)
+        for at in range(0, rows.num_rows, step):
+            yield value, rows.slice(at, step)
+
+    for batch in batches:
+        keys = batch.column(key).to_numpy()
+        cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if held and keys[a] != value:
+                yield from whole()
+                held = []
+            value = keys[a]
+            held.append(pa.Table.from_batches([batch.slice(a, b - a)]))
+            if most and sum(t.num_rows for t in held) >= 8 * most:
+                yield from whole()
+                held = []
+    if held:
+        yield from whole()

@@ -5,22 +5,24 @@ If they do, at most ``e(n) = n - ceil(percent * n / 100)`` of the n shingles of
 missing in the other.  Shingles are put in one global order, rare class first, and
 
 - a document with more than e(n) rare shingles is indexed under the first e(n) + 1 of them;
-- otherwise under all its rare shingles, and its prefix is extended by frequent ones to
-  e(n) + 2 shingles: two linked documents then share a rare shingle of their prefixes or at
-  least two frequent ones, so frequent shingles are indexed as pairs;
-- pairs of n shingles grow with n * n, so documents of ``LONG`` shingles and more use single
-  frequent shingles; around that size documents have both forms.
+- otherwise under all its rare shingles, and its prefix is extended by frequent ones.  These
+  fall into ``CLASSES`` classes by hash, and the prefix goes on until its rare shingles and all
+  but one of each class are e(n) + 1 together: two linked documents then share a rare shingle
+  of their prefixes or at least two of one class, so pairs within a class are indexed;
+- pairs of n shingles grow with n * n, and small sets have too few for the classes, so documents
+  below ``SMALL`` and from ``LONG`` shingles on use single frequent shingles; around these
+  sizes documents have both forms.  So do all documents where ``percent`` is low.
 
 Any fixed split into classes gives the same links, so it only has to be good for speed.  All
 shingles of all documents are counted; those in more than ``RARE`` documents are frequent,
 and where these are more than ``MOST_FREQUENT`` (the bound of what is broadcast) only the
 most frequent of them.
 
-Documents with equal sets are one class.  Classes under one key are verified in turns: a few
-chance neighbours of about the same size in each of the first ones; then, for keys whose
-classes are still in different components, all pairs between components.  Pairs inside a component need no check, so a large
-group of near copies never becomes all its pairs.  A parity bitmap of each set bounds the
-difference from below and spares most exact checks.
+Documents with equal sets are one class.  A parity bitmap of each set bounds the difference of
+two sets from below.  Short lists of classes under a key are checked whole; of long ones each
+class with a few whose bitmaps allow a link.  Then, in the lists whose classes are still in
+different components, all pairs between components whose bitmaps allow a link are checked.  Pairs
+inside a component need no check, so a large group of near copies never becomes all its pairs.
 
 Defined cases: a text that is null or without words has an empty set and links with nothing;
 fewer words than a shingle make one shingle of all; repeated rows link with each other; a null
@@ -37,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from plaudit.llm.chunks import text_chunks
+from plaudit.llm.chunks import runs, text_chunks
 from plaudit.llm.graph import components
 from plaudit.staging import stage
 
@@ -45,8 +47,12 @@ RARE = 16
 MOST_FREQUENT = 1 << 20
 LONG = 400
 BITMAP_BITS = 1024
-NEIGHBOURS = 8  # checked for each class in a turn with chance neighbours
-ROUNDS = 3  # such turns
+NEIGHBOURS = 6  # partners of each class of long lists that are checked first
+SHORT_LIST = 6  # lists up to this size are checked whole at once
+LIST_BLOCK = 2048
+CLASSES = 8  # of frequent shingles
+SMALL = 32
+LEAST_FOR_PAIRS = 60
 SLOTS = 1 << 20
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -185,12 +191,20 @@ def index_keys(tokens: np.ndarray, frequent: np.ndarray, ranges: int, percent: i
     rare = tokens[~often]
     if len(rare) > e:
         return rare[: e + 1]
-    extra = tokens[often][: e + 2 - len(rare)]
+    common = tokens[often]
+    if percent < LEAST_FOR_PAIRS:
+        return np.concatenate([rare, common[: e + 1 - len(rare)]])
+    # each class lets one shingle pass without a pair
+    classes = (common >> np.uint64(17)) % np.uint64(CLASSES)
+    first = np.zeros(len(common), dtype=bool)
+    first[np.unique(classes, return_index=True)[1]] = True
+    enough = int(np.searchsorted(np.cumsum(~first), e + 1 - len(rare))) + 1
+    extra, classes = common[:enough], classes[:enough]
     made = [rare]
-    if n * percent <= LONG * 100:
-        left, right = np.triu_indices(len(extra), 1)
+    if SMALL * percent <= n * 100 and n * percent <= LONG * 100:
+        left, right = np.nonzero(np.triu(classes[:, None] == classes[None, :], 1))
         made.append(mix(extra[left] * MULTIPLIER + extra[right]))
-    if n * 100 >= LONG * percent:
+    if n * percent <= SMALL * 100 or n * 100 >= LONG * percent:
         made.append(extra)
     return np.concatenate(made)
 
@@ -309,44 +323,78 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     grouped = rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
     classes = stage(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
     keyed = classes.select("cid", "n", F.explode("keys").alias("key"))
-    by_key = W.partitionBy("key").orderBy("cid")
-    shared = keyed.select("*", F.lag("cid").over(by_key).alias("_a"), F.lead("cid").over(by_key).alias("_b"))
-    lists = stage(shared.filter("_a is not null or _b is not null").select("key", "cid", "n"), "lists")
-    held = lists.withColumn("comp", F.col("cid"))
-    tried = links = spark.createDataFrame([], "a long, b long")
-    for turn in range(ROUNDS):
-        pairs = stage(chance_pairs(held, turn, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried, links = tried.unionByName(pairs), links.unionByName(verify(pairs, classes, docs, words, percent))
-        held = divided(lists, links)
-    other = held.filter("comp <> main").select("key", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-    every = held.select("key", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), "main")
-    across = other.join(every, "key").filter("comp_a <> comp_b and (comp_b = main or a < b)").filter(may_link(F.col("n_a"), F.col("n_b"), percent))
-    rest = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = verify(stage(rest.join(tried, ["a", "b"], "left_anti"), "pairs"), classes, docs, words, percent)
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+    lists = stage(keyed.join(sizes, "key"), "lists")
+    few = neighbours(lists.filter(F.col("m") <= SHORT_LIST), percent)
+    long_lists = lists.filter(F.col("m") > SHORT_LIST).withColumn("comp", F.col("cid"))
+    first = stage(few.unionByName(near_pairs(long_lists, classes, percent, NEIGHBOURS)).distinct(), "pairs")
+    links = verify(first, classes, docs, words, percent)
+    # what is left between components
+    rest = near_pairs(divided(long_lists.drop("comp"), links), classes, percent, None).distinct()
+    more = verify(stage(rest.join(first, ["a", "b"], "left_anti"), "pairs"), classes, docs, words, percent)
     return rows, classes, links.unionByName(more)
 
 
-def chance_pairs(held: DataFrame, turn: int, percent: int) -> DataFrame:
-    """For each class some pairs (a, b) with classes of other components: classes of about one
-    size stand together under a key, in another order under each key and in each turn, and
-    the neighbours met under most keys count."""
-    band = F.floor(F.log("n") / float(np.log(100 / percent)))
-    order = W.partitionBy("key").orderBy(band, F.xxhash64("cid", "key", F.lit(turn)), "cid")
-    met = held.select("cid", "n", "comp", *(F.lag(c).over(order).alias(f"_{c}") for c in ("cid", "n", "comp")))
-    met = met.filter("_cid is not null and comp <> _comp").filter(may_link(F.col("n"), F.col("_n"), percent))
-    best = W.partitionBy("cid").orderBy(F.desc("count"), F.xxhash64("_cid", F.lit(turn)), "_cid")
-    kept = met.groupBy("cid", "_cid").count().withColumn("_no", F.row_number().over(best)).filter(F.col("_no") <= NEIGHBOURS)
-    return kept.select(F.least("cid", "_cid").alias("a"), F.greatest("cid", "_cid").alias("b")).distinct()
+def neighbours(lists: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of short lists that sizes allow."""
+    order = W.partitionBy("key").orderBy("cid")
+    steps = range(1, SHORT_LIST)
+    near = lists.select("cid", "n", F.array(*(F.struct(F.lag("cid", k).over(order).alias("a"), F.lag("n", k).over(order).alias("n_a")) for k in steps)).alias("_l"))
+    pairs = near.select("cid", "n", F.explode("_l").alias("_p")).select(F.col("_p.a").alias("a"), F.col("cid").alias("b"), "_p.n_a", "n")
+    return pairs.filter("a is not null and a <> b").filter(may_link(F.col("n_a"), F.col("n"), percent)).select("a", "b")
+
+
+def near_pairs(lists: DataFrame, classes: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """Pairs (a, b) of classes under one key and of different components whose bitmaps allow a
+    link: all of them, or for each class ``most`` of them.  Lists are compared in blocks, each
+    pair of blocks in one go, and only pairs that are left are rows."""
+    held = lists.join(classes.select("cid", "bits"), "cid")
+    blocks = F.ceil(F.col("m") / LIST_BLOCK)
+    mine = F.pmod(F.xxhash64("cid"), blocks)
+    dealt = held.select("key", "cid", "n", "comp", "bits", mine.alias("_b"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("_o"))
+    group = F.xxhash64("key", F.least("_b", "_o"), F.greatest("_b", "_o"))
+    rows = dealt.select(group.alias("group"), "cid", "n", "comp", "bits")
+
+    def run(batches):
+        for _, rows in runs(batches, "group"):
+            cid, n, comp = (rows[c].to_numpy() for c in ("cid", "n", "comp"))
+            if (comp == comp[0]).all():
+                continue
+            bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint64).reshape(len(cid), -1)
+            left, right = [], []
+            for start in range(0, len(cid), 64):
+                here = slice(start, start + 64)
+                differ = np.bitwise_count(bits[here, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+                total = n[here, None] + n[None, :]
+                good = (differ * (100 + percent) <= total * (100 - percent)) & (comp[here, None] != comp[None, :])
+                good &= np.minimum(n[here, None], n[None, :]) * 100 >= np.maximum(n[here, None], n[None, :]) * percent
+                if most is None:
+                    good &= cid[here, None] < cid[None, :]
+                else:
+                    # chance partners tie a group together; nearest ones would leave it in clusters
+                    chance = mix(cid[here, None].astype(np.uint64) * MULTIPLIER + cid[None, :].astype(np.uint64)) >> np.uint64(24)
+                    cost = np.where(good, chance.astype(np.int64), 1 << 40)
+                    if cost.shape[1] > most:
+                        bound = np.partition(cost, most - 1, axis=1)[:, most - 1 : most]
+                        good &= (cost < bound) | ((cost == bound) & (np.cumsum(cost == bound, axis=1) <= most - (cost < bound).sum(axis=1, keepdims=True)))
+                i, j = np.nonzero(good)
+                left.append(cid[i + start])
+                right.append(cid[j])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (left, right)], ["a", "b"])
+
+    found = rows.repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long").dropDuplicates(["a", "b"])
+    if most is not None:
+        order = W.partitionBy("a").orderBy(F.xxhash64("a", "b"), "b")
+        found = found.withColumn("_no", F.row_number().over(order)).filter(F.col("_no") <= most)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def divided(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """Lists whose classes are in several components, with the component ``main`` that has
-    most of them."""
+    """Lists whose classes are in several components, with each one's ``comp``."""
     named = components(links).select(F.col("id").alias("cid"), F.col("component").alias("_known"))
-    held = stage(lists.join(named, "cid", "left").select("key", "cid", "n", F.coalesce("_known", "cid").alias("comp")), "held")
-    sizes = held.groupBy("key", "comp").count()
-    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("_comps"))
-    return stage(held.join(main.filter("_comps > 1").select("key", "main"), "key"), "divided")
+    held = stage(lists.join(named, "cid", "left").select("key", "cid", "n", "m", F.coalesce("_known", "cid").alias("comp")), "held")
+    mixed = held.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x <> _y").select("key")
+    return held.join(mixed, "key", "left_semi")
 
 
 def named_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
