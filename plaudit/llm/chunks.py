@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,24 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_B
             yield batch.slice(start, end - start)
 
 
+class LetterTable:
+    """A small number for each code point, worked out when the code point first occurs."""
+
+    UNSEEN = 255
+
+    def __init__(self, number):
+        self.number = number
+        self.table = np.full(sys.maxunicode + 1, self.UNSEEN, np.uint8)
+
+    def __getitem__(self, codes: np.ndarray) -> np.ndarray:
+        found = self.table[codes]
+        if (found == self.UNSEEN).any():
+            for code in np.unique(codes[found == self.UNSEEN]).tolist():
+                self.table[code] = self.number(chr(code))
+            found = self.table[codes]
+        return found
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts, null as empty."""
     return [text or "" for text in batch.column(column).to_pylist()]

@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from plaudit.llm.chunks import runs, text_chunks
 from plaudit.llm.graph import components
+from plaudit.llm.select import near_rows
 from plaudit.staging import stage
 
 RARE = 16
@@ -53,8 +54,6 @@ LIST_BLOCK = 2048
 CLASSES = 8  # of frequent shingles
 SMALL = 32
 LEAST_FOR_PAIRS = 60
-SLOTS = 1 << 20
-
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -279,9 +278,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, pe
     wanted = close.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     reps = stage(classes.select("cid", "rep", "digest").join(wanted, "cid"), "reps")
     # texts of the wanted documents only: a slot list of bounded size goes to every task first
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
-    slots = reps.select(slot(F.col("rep")).alias("_slot")).distinct()
-    few = docs.select("doc_id", "text").withColumn("_slot", slot(F.col("doc_id"))).join(F.broadcast(slots), "_slot", "left_semi").drop("_slot")
+    few = near_rows(docs.select("doc_id", "text"), reps.select(F.col("rep").alias("doc_id")))
 
     def made(batches):
         shingler = Shingler(words)
