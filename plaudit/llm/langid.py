@@ -18,7 +18,6 @@ row for each input row; other columns are ignored.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plaudit.llm.chunks import text_chunks, texts_of
+from plaudit.llm.chunks import LetterTable, text_chunks, texts_of
 
 DIMENSIONS = 2048
 UNKNOWN = "und"
@@ -46,8 +45,7 @@ class Profiler:
     """Windows of texts, and the vectors they are bound to."""
 
     def __init__(self):
-        codes = range(sys.maxunicode + 1)
-        self.is_letter = np.fromiter((chr(c).isalpha() for c in codes), bool, len(codes))
+        self.is_letter = LetterTable(str.isalpha)
         self.vectors: dict[int, np.ndarray] = {}
 
     def letter(self, code: int) -> np.ndarray:
@@ -71,7 +69,7 @@ class Profiler:
             texts = [text.lower() for text in texts]
             lowered = "\n" + "\n".join(texts) + "\n"
         codes = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        letter = self.is_letter[codes]
+        letter = self.is_letter[codes] == 1
         codes = np.where(letter, codes, 0)
         middle = np.flatnonzero(letter)
         packed = codes[middle - 1] << 42 | codes[middle] << 21 | codes[middle + 1]
