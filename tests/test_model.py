@@ -3,7 +3,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from plaudit.operators.metrics import confusion, metrics
-from plaudit.operators.scoring import score
+from plaudit.operators.scoring import LONGEST_TEXT, score
 from plaudit.plans import model as ML
 from plaudit.plans.silver import to_silver
 from plaudit.sources.testdata import TEST_RULES, raw_reviews
@@ -28,7 +28,7 @@ def test_known_word(spark):
 
 
 def test_unknown_blank_and_invalid_texts_get_no_prediction(spark):
-    rows = scored(spark, ["unseenword", " ", "", None, "x" * 10_001], [("good", 1.0, -1.0, 0.0, 2.0)])
+    rows = scored(spark, ["unseenword", " ", "", None, "x" * 10_001], [("good", 1.0, -1.0, 0.0, 2.0)], max_chars=LONGEST_TEXT)
     assert [r["status"] for r in rows] == ["unknown", "unknown", "invalid", "invalid", "invalid"]
     assert all(r["prediction"] is None and r["p_positive"] is None for r in rows)
 
@@ -87,3 +87,16 @@ def test_two_class_model_leaves_neutral_out(fitted):
     rows = ML.training_rows(fitted[0], ML.TWO_CLASSES)
     assert sorted(r[0] for r in rows.select("label").distinct().collect()) == [0.0, 1.0]
     assert rows.count() == fitted[0].filter("sentiment <> 'neutral'").count()
+
+
+def test_bulk_scoring_takes_texts_of_any_length(spark):
+    rows = scored(spark, ["good " * 6_000, "filler " * 6_000 + "good"], [("good", 1.0, -1.0, 0.0, 2.0)])
+    assert [(r["status"], r["prediction"]) for r in rows] == [("ok", "positive")] * 2
+
+
+def test_all_words_have_weights_unless_a_size_is_given(spark):
+    from plaudit.operators import features as X
+
+    texts = spark.range(3).selectExpr("array_join(transform(sequence(1, 20500), i -> 'w' || i), ' ') AS review_text")
+    words = X.word_frequencies(texts)
+    assert X.vocabulary(words).count() == 20_500 and X.vocabulary(words, 20_000).count() == 20_000
