@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plaudit.llm import bpe, chat, covertree, descent, jaccard, kneser_ney, langid, packing, pii, secrets
+from plaudit.llm.statements import STATEMENTS
+
+__all__ = ["QUERIES", "STATEMENTS"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-STATEMENTS: dict[str, str] = {}
 
 
 def query(f: Query) -> Query:
