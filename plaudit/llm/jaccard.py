@@ -53,6 +53,7 @@ SHORT_LIST = 6  # lists up to this size are checked whole at once
 LIST_BLOCK = 2048
 CLASSES = 8  # of frequent shingles
 SMALL = 32
+COUNTED_BYTES = 4_000_000  # of texts whose shingles a task counts at once
 LEAST_FOR_PAIRS = 60
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -133,7 +134,7 @@ def frequent_shingles(docs: DataFrame, words: int, ranges: int) -> np.ndarray:
     def count(batches):
         shingler = Shingler(words)
         for batch in batches:
-            for chunk in text_chunks(batch, "text", 12_000_000):
+            for chunk in text_chunks(batch, "text", COUNTED_BYTES):
                 sets = list(shingler.sets(chunk.column("text")))
                 keys, counts = np.unique(class_key(np.concatenate(sets), ranges), return_counts=True)
                 cuts = np.searchsorted(keys >> np.uint64(32), np.arange(ranges + 1))
@@ -320,8 +321,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     grouped = rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
     classes = stage(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
     keyed = classes.select("cid", "n", F.explode("keys").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    lists = stage(keyed.join(sizes, "key"), "lists")
+    sized = keyed.withColumn("m", F.count("*").over(W.partitionBy("key")))
+    lists = stage(sized.filter("m > 1").select("key", "cid", "n", "m"), "lists")
     few = neighbours(lists.filter(F.col("m") <= SHORT_LIST), percent)
     long_lists = lists.filter(F.col("m") > SHORT_LIST).withColumn("comp", F.col("cid"))
     first = stage(few.unionByName(near_pairs(long_lists, classes, percent, NEIGHBOURS)).distinct(), "pairs")
