@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, chat, covertree, descent, jaccard, kneser_ney, langid, packing, pii, secrets
+from plaudit.llm import bpe, chat, covertree, descent, jaccard, kneser_ney, langid, orchard, packing, pii, secrets
 from plaudit.llm.statements import STATEMENTS
 
 __all__ = ["QUERIES", "STATEMENTS"]
@@ -83,3 +83,8 @@ def op9_chat_format(spark, sf):
 @query
 def op10_ngram_jaccard(spark, sf):
     return jaccard.groups(table(spark, sf, "documents"), words=4, percent=85)
+
+
+@query
+def op11_vector_codes(spark, sf):
+    return orchard.compress(table(spark, sf, "embeddings"))

@@ -35,4 +35,36 @@ SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_i
 FROM v JOIN named ON named.a = v.vec_id LEFT JOIN counted ON counted.a = v.vec_id
 """
 
-STATEMENTS = {"op6_embedding_dedup": DEDUP, "op9_chat_format": CHAT}
+
+def vector_codes(rounds: int = 6) -> str:
+    """Assign and average ``rounds`` times; `b` codebooks, `a` the nearest entry of every part."""
+    assign = """
+a{0} AS MATERIALIZED (
+  SELECT r, p.part, min(list_sum(list_transform(list_zip(p.x, b.x), lambda z: CAST((z[1] - z[2]) * (z[1] - z[2]) AS HUGEINT))) * 16 + entry) AS k
+  FROM p JOIN b{0} b ON b.part = p.part GROUP BY r, p.part)"""
+    average = """
+m{1} AS (
+  SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x
+  FROM (SELECT p.part, a.k % 16 AS entry, i, sum(p.x[i]) AS s, count(*) AS n
+        FROM p JOIN a{0} a ON a.r = p.r AND a.part = p.part, LATERAL (SELECT unnest(range(1, len(p.x) + 1)) AS i)
+        GROUP BY p.part, a.k % 16, i)
+  GROUP BY part, entry),
+b{1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{0} b LEFT JOIN m{1} m ON m.part = b.part AND m.entry = b.entry)"""
+    steps = ",".join(assign.format(n) + "," + average.format(n, n + 1) for n in range(rounds)) + "," + assign.format(rounds)
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS HUGEINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT r, part, e[part * len(e) // 8 + 1 : (part + 1) * len(e) // 8] AS x FROM v, LATERAL (SELECT unnest(range(8)) AS part)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x FROM p WHERE r <= 16),{steps},
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS h FROM b{rounds}),
+coded AS (
+  SELECT r, string_agg(lpad(lower(hex(CAST(k % 16 AS BIGINT))), 2, '0'), '' ORDER BY part) AS code, CAST(sum(k // 16) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM v JOIN coded ON coded.r = v.r, books
+"""
+
+
+STATEMENTS = {"op6_embedding_dedup": DEDUP, "op9_chat_format": CHAT, "op11_vector_codes": vector_codes()}

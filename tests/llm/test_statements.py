@@ -17,5 +17,5 @@ def test_query_equals_duckdb(spark, name):
 
 def test_all_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(STATEMENTS) <= set(entry.oracle_sql())
