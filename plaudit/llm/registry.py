@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, chat, covertree, descent, jaccard, kneser_ney, langid, orchard, packing, pii, secrets
+from plaudit.llm import bpe, chat, covertree, descent, divergence, jaccard, kneser_ney, langid, orchard, packing, pii, secrets
 from plaudit.llm.statements import STATEMENTS
 
 __all__ = ["QUERIES", "STATEMENTS"]
@@ -88,3 +88,8 @@ def op10_ngram_jaccard(spark, sf):
 @query
 def op11_vector_codes(spark, sf):
     return orchard.compress(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_source_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"))

@@ -67,4 +67,38 @@ FROM v JOIN coded ON coded.r = v.r, books
 """
 
 
-STATEMENTS = {"op6_embedding_dedup": DEDUP, "op9_chat_format": CHAT, "op11_vector_codes": vector_codes()}
+
+# All terms of all pairs, zeros included.
+AUDIT = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+t AS MATERIALIZED (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS MATERIALIZED (
+  SELECT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = s.lang AND c.source = s.source), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) s),
+shares AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000 * (coalesce(n, 0) + 1)::HUGEINT) // (total + v) AS p,
+    1 + (1000000000 * (lang_n + 1)::HUGEINT) // (lang_total + v) AS q
+  FROM g JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+  ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (
+  SELECT lang, source, term AS item, CAST(((p - q) * (p - q)) // q AS BIGINT) AS value FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL SELECT * FROM (
+  SELECT lang, source, 'term', item, value,
+    CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms)
+WHERE rank <= 200
+"""
+
+STATEMENTS = {"op6_embedding_dedup": DEDUP, "op9_chat_format": CHAT, "op11_vector_codes": vector_codes(), "op12_source_divergence": AUDIT}
