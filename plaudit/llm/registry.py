@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, chat, covertree, descent, divergence, jaccard, kneser_ney, langid, orchard, packing, pii, secrets
+from plaudit.llm import bpe, chat, covertree, descent, divergence, jaccard, kneser_ney, langid, orchard, packing, pii, secrets, toxicity
 from plaudit.llm.statements import STATEMENTS
 
 __all__ = ["QUERIES", "STATEMENTS"]
@@ -93,3 +93,8 @@ def op11_vector_codes(spark, sf):
 @query
 def op12_source_divergence(spark, sf):
     return divergence.audit(table(spark, sf, "documents"))
+
+
+@query
+def op13_toxicity(spark, sf):
+    return toxicity.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
