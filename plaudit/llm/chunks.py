@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -10,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 3_000_000
+LONG_WORD = 64  # letters; longer words get a cryptographic hash
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -42,6 +46,27 @@ class LetterTable:
         return found
 
 
+def word_digest(word: bytes) -> int:
+    """64 bits of a cryptographic hash: sums over letters can be made to collide in long words."""
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+def released(run):
+    """``run`` for batches that gives its freed memory back when the task ends, as workers are
+    kept for later tasks and share the executor's memory."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # another C library
+            pass
+
+    return wrapped
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts, null as empty."""
     return [text or "" for text in batch.column(column).to_pylist()]

@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from plaudit.llm.chunks import runs, text_chunks
+from plaudit.llm.chunks import LONG_WORD, released, runs, text_chunks, word_digest
 from plaudit.llm.graph import components
 from plaudit.llm.select import near_rows
 from plaudit.staging import stage
@@ -75,13 +75,13 @@ class Shingler:
 
     def __init__(self, words: int):
         self.words = words
-        letters = np.arange(256, dtype=np.uint64)
-        letters[65:91] += np.uint64(32)
         self.blank = np.zeros(256, dtype=bool)
         self.blank[[32, 9, 10, 11, 12, 13]] = True
-        self.letter = mix((letters + np.uint64(1)) * MULTIPLIER)
-        self.letter[self.blank] = 0
-        self.power = np.zeros(0, np.uint64)
+        # a number for each letter at each place of a word
+        number = np.arange(256 * LONG_WORD, dtype=np.uint64).reshape(LONG_WORD, 256)
+        self.letter = mix(mix((number + np.uint64(1)) * MULTIPLIER))
+        self.letter[:, 65:91] = self.letter[:, 97:123]
+        self.letter[:, self.blank] = 0
 
     def word_hashes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hash and start of each word in the bytes."""
@@ -91,10 +91,12 @@ class Shingler:
             return np.zeros(0, np.uint64), starts
         lead = starts[0]
         within = np.arange(len(data) - lead) - np.repeat(starts - lead, np.diff(starts, append=len(data)))
-        longest = int(within.max()) + 1
-        if longest > len(self.power):
-            self.power = np.cumprod(np.full(longest, 0xF1357AEA2E62A9C5, np.uint64))
-        return mix(np.add.reduceat(self.letter[data[lead:]] * self.power[within], starts - lead)), starts
+        np.minimum(within, LONG_WORD - 1, out=within)
+        hashes = np.add.reduceat(self.letter.ravel()[within << 8 | data[lead:]], starts - lead)
+        ends = np.flatnonzero(~blank & np.concatenate([blank[1:], [True]])) + 1
+        for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            hashes[i] = word_digest(data[starts[i] : ends[i]].tobytes().lower())
+        return mix(hashes), starts
 
     def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ascending distinct shingles of each text."""
@@ -105,7 +107,8 @@ class Shingler:
         rolled = np.zeros(len(hashes), np.uint64)
         k = self.words
         for i in range(k):
-            rolled[: len(hashes) - i] = rolled[: len(hashes) - i] * MULTIPLIER + hashes[i:]
+            whole = max(0, len(hashes) - i)  # fewer words than a shingle leave none
+            rolled[:whole] = rolled[:whole] * MULTIPLIER + hashes[i:]
         rolled = mix(rolled)
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             if b - a >= k:

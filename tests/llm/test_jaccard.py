@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +122,26 @@ def test_components_of_paths_stars_and_cycles(spark):
     assert {out[i] for i in range(61)} == {0} and {out[1000 + i] for i in range(200)} == {1000}
     assert {out[i] for i in (501, 502, 503)} == {501} and len(out) == 61 + 200 + 3
     assert components(spark.createDataFrame([], "a long, b long")).select(F.col("id")).collect() == []
+
+
+@pytest.mark.parametrize("texts", [["hello world"], ["a", "b"]])
+def test_tables_with_fewer_words_than_a_shingle(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = [tuple(r)[1:] for r in J.groups(docs, words=4).orderBy("doc_id").collect()]
+    assert found == brute(texts, 4, 80)
+
+
+@pytest.mark.parametrize("words", [1, 4, 5])
+def test_sets_of_chunks_with_few_words(words):
+    for texts in (["hello world"], ["hello"], ["a b c"], ["a b", "c"], ["", "x"], [None], ["a b c d e", ""], []):
+        sets = list(J.Shingler(words).sets(pa.array(texts, pa.string())))
+        assert [len(s) for s in sets] == [len(shingles(t, words)) for t in texts]
+
+
+def test_words_that_sums_of_powers_confuse():
+    texts = []
+    for length in (512, 1024, 2048):
+        bits = [bin(i).count("1") & 1 for i in range(length)]
+        texts += ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits), "".join("AB"[b] for b in bits)]
+    sets = [s.tobytes() for s in J.Shingler(4).sets(pa.array(texts))]
+    assert len(set(sets)) == 6 and sets[0] == sets[2] and sets[3] == sets[5]
