@@ -12,7 +12,7 @@ a symbol that a pair of lower rank uses; ``load`` refuses other files.
 Defined cases: null and empty texts have no tokens; null and repeated ``doc_id`` are kept,
 one output row for each input row; other columns are ignored; memory is bounded by a chunk
 of texts, or by the longest text, and a word table of ``KNOWN_WORDS``.  Words are told apart
-by 64-bit hashes.
+by 64-bit hashes: of letters and their places, and BLAKE2 for more than 64 letters.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from plaudit.llm.chunks import text_chunks, texts_of
+from plaudit.llm.chunks import LONG_WORD, released, text_chunks, texts_of, word_digest
 
 KNOWN_WORDS = 1_000_000
 WORDS_AT_ONCE = 300_000  # new words in one pair index
@@ -195,7 +195,8 @@ class WordCutter:
         mixed *= np.uint64(0xD6E8FEB86659FD93)
         self.mixed = mixed ^ (mixed >> np.uint64(32))
         self.kind = np.full(len(codes), UNSEEN, dtype=np.uint8)
-        self.power = np.zeros(0, np.uint64)
+        # a number for each place of a word
+        self.place = np.random.default_rng(7).integers(0, 1 << 64, LONG_WORD, dtype=np.uint64)
         # a lone surrogate, which no text holds, stands for a special token
         self.stand_in = {token: chr(0xD800 + n) for n, token in enumerate(specials)}
         self.special = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True))) or r"(?!)")
@@ -226,10 +227,10 @@ class WordCutter:
 
     def hashes(self, codes: np.ndarray, starts: np.ndarray, blank: np.ndarray) -> np.ndarray:
         within = np.arange(len(codes)) - np.repeat(starts, np.diff(starts, append=len(codes)))
-        longest = int(within.max(initial=0)) + 1
-        if longest > len(self.power):
-            self.power = np.cumprod(np.full(longest, 0xF1357AEA2E62A9C5, np.uint64))
-        terms = self.mixed[codes] * self.power[within]
+        np.minimum(within, LONG_WORD - 1, out=within)
+        terms = self.mixed[codes] ^ self.place[within]
+        terms *= np.uint64(0x9FB21C651E98DF25)
+        terms ^= terms >> np.uint64(28)
         terms[blank] = 0
         return np.add.reduceat(terms, starts)
 
@@ -247,7 +248,10 @@ class WordCutter:
         hashes = self.hashes(codes[lead:], starts - lead, blank[lead:])
         blanks = np.concatenate([[0], np.cumsum(blank)])
         following = np.append(starts[1:], len(codes))
-        return starts, following - (blanks[following] - blanks[starts]), hashes
+        ends = following - (blanks[following] - blanks[starts])
+        for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            hashes[i] = word_digest(codes[starts[i] : ends[i]].tobytes())
+        return starts, ends, hashes
 
     @staticmethod
     def _contract(codes: np.ndarray, kind: np.ndarray, start: np.ndarray) -> None:

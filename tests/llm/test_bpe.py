@@ -88,3 +88,13 @@ def test_query_over_documents(spark):
         decoded = LIBRARY.decode(ids, skip_special_tokens=False)
         want[r.doc_id] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
     assert {r.doc_id: tuple(r)[1:] for r in QUERIES["op8_bpe"](spark, SMALL).collect()} == want
+
+
+def test_words_that_sums_of_powers_confuse():
+    """A word of two letters and its letter-swapped twin have equal sums of powers modulo 2**64."""
+    texts = []
+    for length in (512, 1024, 2048):
+        bits = [bin(i).count("1") & 1 for i in range(length)]
+        texts += ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+    texts += ["x" * 64 + "y", "y" + "x" * 64, "x" * 65, "ab", "ba"]
+    assert encode(texts) == library(texts)
