@@ -35,8 +35,8 @@ from plaudit.llm.chunks import LONG_WORD, released, text_chunks, texts_of, word_
 
 KNOWN_WORDS = 1_000_000
 WORDS_AT_ONCE = 300_000  # new words in one pair index
-BLOCK_BYTES = 16_000_000  # text whose new words are encoded together
-ROW_CHARS = 2_000_000  # text cut into words at once
+BLOCK_BYTES = 4_000_000  # text whose new words are encoded together
+ROW_CHARS = 1_000_000  # text cut into words at once
 END = "</w>"
 SHIFT = 20  # bits for the right symbol of a pair
 BLANK, LETTER, ALONE, SIGN, UNSEEN = range(5)
@@ -366,7 +366,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), lists], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_id_type(docs)}, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {_id_type(docs)}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -380,7 +380,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             texts = [decode_ids(tokens, np.array(ids or [], dtype=np.int64)) for ids in lists]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {_id_type(encoded)}, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(released(run), f"doc_id {_id_type(encoded)}, text string")
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
@@ -402,7 +402,7 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {_id_type(docs)}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        released(run), f"doc_id {_id_type(docs)}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 

@@ -166,8 +166,8 @@ def frequent_shingles(docs: DataFrame, words: int, ranges: int) -> np.ndarray:
                 [pa.array(keys[first][often].astype(np.int64) + (part << 32)), pa.array(sums[often])], ["key", "n"]
             )
 
-    blocks = docs.select("text").mapInArrow(count, "part int, keys binary, counts binary")
-    found = stage(blocks.repartition(ranges, "part").mapInArrow(total, "key long, n long"), "frequent")
+    blocks = docs.select("text").mapInArrow(released(count), "part int, keys binary, counts binary")
+    found = stage(blocks.repartition(ranges, "part").mapInArrow(released(total), "key long, n long"), "frequent")
     # the least count with which the frequent class keeps to its bound
     steps = found.groupBy(F.floor(F.log2("n") * 8).cast("int").alias("step")).count().orderBy(F.desc("step")).collect()
     taken, least = 0, None
@@ -244,7 +244,7 @@ def describe(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, ra
                     ["doc_id", "n", "digest", "bits", "keys"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_id_type(docs)}, n long, digest binary, bits binary, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {_id_type(docs)}, n long, digest binary, bits binary, keys array<long>")
 
 
 def digest(tokens: np.ndarray) -> bytes:
@@ -278,7 +278,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, pe
             # |x ^ y| <= (100 - percent) / (100 + percent) * (|x| + |y|)
             yield batch.filter(pa.array(differ * (100 + percent) <= n * (100 - percent))).select(["a", "b"])
 
-    close = stage(joined.mapInArrow(near, "a long, b long"), "close")
+    close = stage(joined.mapInArrow(released(near), "a long, b long"), "close")
     wanted = close.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     reps = stage(classes.select("cid", "rep", "digest").join(wanted, "cid"), "reps")
     # texts of the wanted documents only: a slot list of bounded size goes to every task first
@@ -294,7 +294,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, pe
                     ["digest", "tokens"],
                 )
 
-    tokens = few.mapInArrow(made, "digest binary, tokens binary").dropDuplicates(["digest"])
+    tokens = few.mapInArrow(released(made), "digest binary, tokens binary").dropDuplicates(["digest"])
     sets = stage(reps.join(tokens, "digest").select("cid", "tokens"), "sets")
     both = (
         close.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("x")), "a")
@@ -311,7 +311,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, pe
                 good.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    return stage(both.mapInArrow(check, "a long, b long"), "links")
+    return stage(both.mapInArrow(released(check), "a long, b long"), "links")
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -383,7 +383,7 @@ def near_pairs(lists: DataFrame, classes: DataFrame, percent: int, most: int | N
                 right.append(cid[j])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (left, right)], ["a", "b"])
 
-    found = rows.repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long").dropDuplicates(["a", "b"])
+    found = rows.repartition("group").sortWithinPartitions("group").mapInArrow(released(run), "a long, b long").dropDuplicates(["a", "b"])
     if most is not None:
         order = W.partitionBy("a").orderBy(F.xxhash64("a", "b"), "b")
         found = found.withColumn("_no", F.row_number().over(order)).filter(F.col("_no") <= most)
@@ -433,7 +433,7 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*chunk.columns, marks], [*chunk.schema.names, "_mark"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_mark", T.BinaryType())])
-    marked = docs.mapInArrow(run, schema)
+    marked = docs.mapInArrow(released(run), schema)
     same = (F.col("_mark") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     first = marked.filter("_mark is not null").join(kept, same).dropDuplicates(["doc_id", "_mark"])
     return first.select(*docs.columns).unionByName(marked.filter("_mark is null").select(*docs.columns))

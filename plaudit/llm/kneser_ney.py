@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from plaudit.llm.chunks import LetterTable, text_chunks, texts_of
+from plaudit.llm.chunks import LetterTable, released, text_chunks, texts_of
 from plaudit.llm.select import rows_of
 from plaudit.staging import stage
 
@@ -99,7 +99,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["gram", "n"])
 
-    return texts.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(released(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def suffix(gram: Column, size: int) -> Column:
@@ -200,7 +200,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").mapInArrow(
-        run, f"doc_id {key}, lang string, letters long, nats double"
+        released(run), f"doc_id {key}, lang string, letters long, nats double"
     )
 
 
@@ -277,4 +277,4 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
             limit = np.array([np.inf if x is None else x for x in own]) + MARGIN / np.sqrt(np.maximum(lengths, 1))
             yield chunk.filter(pa.array((lengths > 0) & (nats <= limit)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plaudit.llm.chunks import LetterTable, text_chunks, texts_of
+from plaudit.llm.chunks import LetterTable, released, text_chunks, texts_of
 
 DIMENSIONS = 2048
 UNKNOWN = "und"
@@ -153,7 +153,7 @@ def learn(labelled: DataFrame) -> DataFrame:
             )
 
     known = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    parts = known.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(run, "lang string, dimension int, value long")
+    parts = known.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(released(run), "lang string, dimension int, value long")
     return parts.groupBy("lang", "dimension").agg(F.sum("value").alias("value"))
 
 
@@ -199,7 +199,7 @@ def predict(docs: DataFrame, prototypes: DataFrame) -> DataFrame:
                 )
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {key}, lang_pred string, score double")
 
 
 def keep(docs: DataFrame, prototypes: DataFrame, least_cosine: float, least_chars: int) -> DataFrame:
@@ -219,7 +219,7 @@ def keep(docs: DataFrame, prototypes: DataFrame, least_cosine: float, least_char
                     good = np.fromiter((any(map(str.isalpha, t)) for t in texts), bool, len(texts))
                 yield chunk.filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def held_out(doc_id="doc_id"):
