@@ -16,8 +16,8 @@ the automaton passes, of its ``BEST`` heaviest words so that length alone says n
 document the sum of its ``TOP`` best clauses, turned into 0 to 1 by a logistic curve.
 
 *Learning.*  Lexicon entries are whole words and word beginnings of 3 to 7 letters.  They are
-counted by how many different neighbours (word before, word after) they occur between, in
-toxic and in clean texts, so copies of one text count once.  An entry's weight is the log odds of
+counted by how many different neighbours (word before, word after) their words occur between,
+in toxic and in clean texts, so copies of one text count once.  An entry's weight is the log odds of
 the lower bound of its precision at equal class sizes; entries below ``LEAST_ODDS`` are left
 out.  The curve is fitted on scores of rows whose texts are in the other half of a hash, under a
 lexicon of the half they are not in.  The fit uses at most ``FIT_TOXIC`` toxic and
@@ -191,38 +191,37 @@ def precision_bound(toxic: float, clean: float) -> float:
 
 
 def count_contexts(sample: DataFrame) -> DataFrame:
-    """Rows (half, toxic, entry, contexts): between how many different neighbours an entry occurs."""
+    """Rows (half, toxic, entry, contexts): between how many different neighbours an entry's words
+    occur.  Only words travel with their neighbours, each once for a stretch of texts; their
+    beginnings are made from the counts."""
 
     def run(batches):
         for batch in batches:
-            rows = set()
+            rows: set[tuple] = set()
             groups = zip(batch.column("half").to_pylist(), batch.column("toxic").to_pylist(), texts_of(batch))
-            out: dict[str, list] = {"half": [], "toxic": [], "entry": [], "near": []}
             for half, toxic, text in groups:
                 before, words = "", iter(WORD.finditer(text.lower()))
                 present = next(words, None)
                 while present is not None:
                     word, following = present[0], next(words, None)
-                    near = hash_of(before, following[0] if following else "")
-                    for entry in entries_of(word):
-                        rows.add((half, toxic, entry, near))
+                    rows.add((half, toxic, word, hash_of(before, following[0] if following else "")))
                     before, present = word, following
-                    if len(rows) > 200_000:
-                        yield _columns(out, rows)
+                    if len(rows) >= 200_000:
+                        yield _columns(rows)
                         rows = set()
-                if len(rows) > 100_000:
-                    yield _columns(out, rows)
-                    rows = set()
             if rows:
-                yield _columns(out, rows)
+                yield _columns(rows)
 
-    found = sample.select("half", "toxic", "text").mapInArrow(run, "half int, toxic int, entry string, near long")
-    return found.distinct().groupBy("half", "toxic", "entry").agg(F.count(F.lit(1)).alias("contexts"))
+    found = sample.select("half", "toxic", "text").mapInArrow(run, "half int, toxic int, word string, near long")
+    words = found.distinct().groupBy("half", "toxic", "word").agg(F.count(F.lit(1)).alias("n"))
+    beginnings = [F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in FIRST_LETTERS]
+    entries = F.explode(F.array_compact(F.array(F.concat("word", F.lit(" ")), *beginnings)))
+    return words.select("half", "toxic", entries.alias("entry"), "n").groupBy("half", "toxic", "entry").agg(F.sum("n").alias("contexts"))
 
 
-def _columns(names: Iterable[str], rows: set) -> pa.RecordBatch:
+def _columns(rows: set[tuple]) -> pa.RecordBatch:
     kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], list(names))
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["half", "toxic", "word", "near"])
 
 
 def hash_of(before: str, after: str) -> int:

@@ -65,7 +65,7 @@ def test_contexts_are_counted_once(spark, rows):
         for i, word in enumerate(words):
             near = (words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else "")
             for entry in T.entries_of(word):
-                plain.setdefault((half, toxic, entry), set()).add(near)
+                plain.setdefault((half, toxic, entry), set()).add((word, near))
     assert rows(T.count_contexts(df)) == sorted(((*k, len(v)) for k, v in plain.items()), key=repr)
 
 
