@@ -187,6 +187,14 @@ CTES: dict[str, str] = {
         FROM whole w JOIN product_ids i ON i.n = w.product_name""",
     "documents_words": f"""SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split({clean('text')}, ' ')) AS word FROM documents)
         WHERE word NOT IN ({STOP})""",
+    "first_rows": "SELECT product_name, price, rate, review_title, summary FROM delivered WHERE doc_id % 10 < 7",
+    "second_rows": "SELECT product_name, price, rate, review_title, summary FROM delivered WHERE doc_id % 10 >= 5",
+    "later_rows": "SELECT * FROM second_rows EXCEPT SELECT * FROM first_rows",
+    "good_rows": """SELECT product_name, price, rate, review_title, summary FROM checked
+        WHERE rating BETWEEN 1 AND 5 AND value > 0 AND value < 1e10 AND length(review_text) >= 2""",
+    "first_products": f"""SELECT DISTINCT {tidy('product_name')} AS product_name, {category(f"lower({tidy('product_name')})", TEST_RULES)} AS category
+        FROM (SELECT * FROM good_rows INTERSECT SELECT * FROM first_rows)""",
+    "later_products": "SELECT product_name, category FROM silver EXCEPT SELECT product_name, category FROM first_products",
     "document_vocabulary": """SELECT word, count(*) AS count, count(DISTINCT doc_id) AS df FROM documents_words
         GROUP BY word HAVING count(DISTINCT doc_id) >= 3""",
     "weights": f"""SELECT s.word, {settle('ln(((SELECT count(*) FROM silver) + 1) / (f.df + 1))', 6)} AS idf, s.neg_share AS w_negative,
@@ -438,6 +446,18 @@ BODIES: dict[str, str] = {
     "ml_score": f"SELECT id AS doc_id, status, prediction, p_negative, p_neutral, p_positive FROM ({_scored('SELECT doc_id AS id, text AS txt FROM documents')})",
     "ml_score_unknown": f"SELECT id AS doc_id, status, prediction FROM ({_scored('SELECT doc_id AS id, summary AS txt FROM numbered', 10000)}) WHERE status <> 'ok'",
     "ingest_incremental": f"SELECT product_name, price, rate, review_title, {ONE_LINE} AS summary FROM numbered",
+    "inc_cube": f"""SELECT category, price_band, rating, sentiment, count(*) AS reviews, CAST(round(sum({MONEY}), 0) AS DOUBLE) AS sum_price,
+        CAST(sum(word_count) AS BIGINT) AS sum_words FROM silver GROUP BY ALL""",
+    "inc_products": f"""SELECT product_name, category, count(*) AS reviews, {AVG} AS avg_rating, {_share_of('positive')} AS pct_positive,
+        {_share_of('negative')} AS pct_negative, {ratio(cents(f'sum({MONEY})'), '100 * count(*)', 0)} AS avg_price FROM silver GROUP BY product_name, category""",
+    "inc_word_pivot": "SELECT * FROM wide",
+    "inc_product_keys": """SELECT row_number() OVER (ORDER BY product_name, category) AS product_key, product_name, category FROM first_products
+        UNION ALL SELECT (SELECT count(*) FROM first_products) + row_number() OVER (ORDER BY product_name, category), product_name, category
+        FROM later_products""",
+    "inc_batches": """SELECT 'first' AS batch, (SELECT count(*) FROM first_rows) AS delivered, (SELECT count(*) FROM (SELECT DISTINCT * FROM first_rows)) AS distinct_rows,
+        (SELECT count(*) FROM (SELECT DISTINCT * FROM first_rows)) AS added, (SELECT count(*) FROM (SELECT * FROM good_rows INTERSECT SELECT * FROM first_rows)) AS kept
+        UNION ALL SELECT 'second', (SELECT count(*) FROM second_rows), (SELECT count(*) FROM (SELECT DISTINCT * FROM second_rows)),
+        (SELECT count(*) FROM later_rows), (SELECT count(*) FROM (SELECT * FROM good_rows INTERSECT SELECT * FROM later_rows))""",
     "bench_cat_sentiment": "SELECT category, sentiment, count(*) AS reviews FROM lines GROUP BY ALL",
     "bench_cat_band": "SELECT category, price_band, count(*) AS reviews, avg(rating) AS avg_rating FROM lines GROUP BY ALL",
     "bench_replicated_agg": "SELECT category, price_band, 20 * count(*) AS reviews, avg(rating) AS avg_rating FROM lines GROUP BY ALL",

@@ -41,6 +41,26 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], name: str, after: Column
     )
 
 
+def extend_keys(ledger: DataFrame | None, members: DataFrame, order_cols: Sequence[str], name: str) -> DataFrame:
+    """``ledger`` (key ``name`` and ``order_cols``) with the members that it lacks.
+
+    A key once given stays with its member, so tables that refer to it need no rewrite; new
+    members are numbered after the largest key, in the order of ``order_cols``, and a member that
+    is no longer delivered keeps its row.
+    """
+    found = members.select(*order_cols).distinct()
+    if ledger is None:
+        return dense_key(found, order_cols, name)
+    known = ledger.select(*[F.col(c).alias(f"_{c}") for c in order_cols])
+    same = None
+    for c in order_cols:
+        equal = F.col(c).eqNullSafe(F.col(f"_{c}"))
+        same = equal if same is None else same & equal
+    last = ledger.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
+    new = dense_key(found.join(known, same, "left_anti"), order_cols, name, after=last)
+    return ledger.select(name, *order_cols).unionByName(new)
+
+
 def content_key(
     df: DataFrame, cols: Sequence[str] | None = None, name: str = "review_key", bucket_chars: int = 4, chunk: int = 100_000
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from plaudit.operators import star as S
 from plaudit.operators import timing
 from plaudit.operators import words as W
 from plaudit.operators.scoring import LONGEST_TEXT, score
-from plaudit.plans import catalog, model as ML, named, serving
+from plaudit.plans import catalog, incremental as I, model as ML, named, serving
 from plaudit.plans.refresh import build_marts
 from plaudit.plans.silver import to_silver
 from plaudit.sources import raw as RAW
@@ -105,6 +105,19 @@ def _marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return stored(spark, sf, "marts", build)
 
 
+def _versions(spark: SparkSession, sf: str):
+    """The stored marts after two deliveries; the second brings a fifth of the rows again."""
+
+    def build():
+        root = fresh_path(spark, "versions")
+        deliveries = F.when(F.col("doc_id") % 8 == 0, F.lit(2)).otherwise(F.lit(1))
+        rows = numbered_reviews(spark, sf).withColumn("_delivery", F.explode(F.sequence(F.lit(1), deliveries)))
+        I.apply_batch(spark, root, rows.filter("doc_id % 10 < 7"), "first", TEST_RULES)
+        return I.apply_batch(spark, root, rows.filter("doc_id % 10 >= 5"), "second", TEST_RULES)
+
+    return stored(spark, sf, "versions", build)
+
+
 def _first_batch(spark: SparkSession, sf: str) -> DataFrame:
     return _lines(spark, sf).filter(F.col("received_at") < F.lit(FIRST_BATCH_ENDS).cast("timestamp"))
 
@@ -756,6 +769,31 @@ def ingest_incremental(spark, sf):
     return spark.read.parquet(dst)
 
 
+@query
+def inc_cube(spark, sf):
+    return I.cube_of(_versions(spark, sf))
+
+
+@query
+def inc_products(spark, sf):
+    return I.products_of(_versions(spark, sf), 1)
+
+
+@query
+def inc_word_pivot(spark, sf):
+    return _versions(spark, sf).read("words")
+
+
+@query
+def inc_product_keys(spark, sf):
+    return _versions(spark, sf).read("product_keys")
+
+
+@query
+def inc_batches(spark, sf):
+    return _versions(spark, sf).read("batches")
+
+
 @query
 def bench_cat_sentiment(spark, sf):
     return _lines(spark, sf).groupBy("category", "sentiment").agg(F.count(F.lit(1)).alias("reviews"))
