@@ -124,6 +124,28 @@ class Shingler:
                 yield np.zeros(0, np.uint64)
 
 
+def packed(ascending: np.ndarray) -> bytes:
+    """Distinct ascending 32-bit numbers in about 2 + log2(2^32 / how many) bits each: the low
+    bits as they are, the high ones as gaps in a row of bits."""
+    n = len(ascending)
+    low = max(0, 32 - max(1, n).bit_length())
+    tails = (ascending[:, None] >> np.arange(low, dtype=np.uint32)) & np.uint32(1)
+    marks = np.zeros(n + (1 << 32 - low), np.uint8)
+    marks[(ascending >> np.uint32(low)).astype(np.int64) + np.arange(n)] = 1
+    return np.array([n], "<u4").tobytes() + np.packbits(tails.astype(np.uint8)).tobytes() + np.packbits(marks).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The numbers that ``packed`` took."""
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    low = max(0, 32 - max(1, n).bit_length())
+    bits = np.frombuffer(data, np.uint8, offset=4)
+    cut = (n * low + 7) // 8
+    tails = np.unpackbits(bits[:cut], count=n * low).reshape(n, low).astype(np.uint32)
+    heads = np.flatnonzero(np.unpackbits(bits[cut:])) - np.arange(n)
+    return heads.astype(np.uint32) << np.uint32(low) | (tails << np.arange(low, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
+
+
 def class_key(tokens: np.ndarray, ranges: int) -> np.ndarray:
     """What a shingle is counted under: the range that counts it, and 32 bits.  Ranges follow
     the size of the input, so few shingles meet by chance."""
@@ -143,7 +165,7 @@ def frequent_shingles(docs: DataFrame, words: int, ranges: int) -> np.ndarray:
                 cuts = np.searchsorted(keys >> np.uint64(32), np.arange(ranges + 1))
                 low = keys.astype(np.uint32)
                 counts = counts.astype(np.uint32)
-                rows = [(r, low[a:b].tobytes(), counts[a:b].tobytes()) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+                rows = [(r, packed(low[a:b]), counts[a:b].tobytes()) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
                 yield pa.RecordBatch.from_pylist(
                     [{"part": r, "keys": k, "counts": c} for r, k, c in rows],
                     pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]),
@@ -154,7 +176,7 @@ def frequent_shingles(docs: DataFrame, words: int, ranges: int) -> np.ndarray:
         for batch in batches:
             for row in batch.to_pylist():
                 parts = kept.setdefault(row["part"], [])
-                parts.append((np.frombuffer(row["keys"], np.uint32), np.frombuffer(row["counts"], np.uint32)))
+                parts.append((unpacked(row["keys"]), np.frombuffer(row["counts"], np.uint32)))
         for part, blocks in kept.items():
             keys = np.concatenate([k for k, _ in blocks])
             order = np.argsort(keys, kind="stable")

@@ -145,3 +145,13 @@ def test_words_that_sums_of_powers_confuse():
         texts += ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits), "".join("AB"[b] for b in bits)]
     sets = [s.tobytes() for s in J.Shingler(4).sets(pa.array(texts))]
     assert len(set(sets)) == 6 and sets[0] == sets[2] and sets[3] == sets[5]
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 3, 100, 5000):
+        made = np.unique(rng.integers(0, 1 << 32, n, dtype=np.uint64)).astype(np.uint32)
+        assert (J.unpacked(J.packed(made)) == made).all() and len(J.unpacked(J.packed(made))) == len(made)
+    for ends in ([0], [2**32 - 1], [0, 2**32 - 1], list(range(9)), list(range(2**32 - 9, 2**32))):
+        made = np.array(ends, np.uint32)
+        assert J.unpacked(J.packed(made)).tolist() == ends
