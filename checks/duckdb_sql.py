@@ -313,6 +313,9 @@ BRONZE = "product_name, price, rate, review_title, summary"
 BODIES: dict[str, str] = {
     "bronze_csv_roundtrip": f"SELECT product_name, price, rate, review_title, {ONE_LINE} AS summary FROM raw",
     "bronze_rename": f"SELECT {BRONZE} FROM raw",
+    "bronze_rejects": f"""SELECT 'kept' AS outcome, count(*) AS rows, count(DISTINCT product_name) AS different FROM raw WHERE rate IS NULL OR rate NOT IN ('2', '4')
+        UNION ALL SELECT 'too few fields', count(*), count(DISTINCT (product_name, price, rate, review_title)) FROM raw WHERE rate = '2' HAVING count(*) > 0
+        UNION ALL SELECT 'too many fields', count(*), count(DISTINCT (product_name, price, rate, review_title, {ONE_LINE})) FROM raw WHERE rate = '4' HAVING count(*) > 0""",
     "scan_pruned": "SELECT l_partkey, l_quantity FROM lineitem",
     "dq_row_count": "SELECT 'bronze' AS \"table\", count(*) AS rows FROM raw",
     "silver_dedup": f"SELECT {BRONZE} FROM unique_raw",

@@ -16,6 +16,7 @@ from plaudit.plans import model as ML, named
 from plaudit.plans.catalog import save_partitioned
 from plaudit.plans.silver import to_silver
 from plaudit.sources.raw import BRONZE_COLUMNS
+from plaudit.sources.rejects import MARKED_COLUMNS, kept, lost_records, raw_lines, rejects
 from plaudit.sources.tables import read_table, read_tables, save_tables, write_table, write_tables
 from plaudit.staging import stage
 from plaudit.streaming.ingest import ingest_new
@@ -56,12 +57,23 @@ def checked(report: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, job: Refresh) -> DataFrame:
-    """Append new raw files.  Bronze grows across refreshes, so it sits beside them."""
+    """Append new raw files.  Bronze grows across refreshes, so it sits beside them.  The records
+    that are no reviews are written to ``rejects``."""
     ingest_new(spark, job.raw, f"{job.raw.rstrip('/')}-bronze", f"{job.raw.rstrip('/')}-ingested")
-    stored = read_table(spark, f"{job.raw.rstrip('/')}-bronze")
+    stored = marked_bronze(spark, job)
     if not set(BRONZE_COLUMNS) <= set(stored.columns) or stored.isEmpty():
         raise RefreshFailed(f"bronze holds no rows or lacks columns: {stored.columns}")
-    return stored
+    write_table(rejects(stored), f"{job.out}/rejects")
+    return kept(stored)
+
+
+def marked_bronze(spark: SparkSession, job: Refresh) -> DataFrame:
+    """All ingested records.  Files of a bronze table from before there were marks lack the
+    columns of the marks, which are null then."""
+    stored = read_table(spark, f"{job.raw.rstrip('/')}-bronze")
+    if not set(BRONZE_COLUMNS) <= set(stored.columns):
+        return stored
+    return spark.read.schema(", ".join(f"{name} string" for name in MARKED_COLUMNS)).parquet(f"{job.raw.rstrip('/')}-bronze")
 
 
 def silver(spark: SparkSession, job: Refresh, raw: DataFrame) -> DataFrame:
@@ -183,7 +195,8 @@ def refresh(spark: SparkSession, job: Refresh) -> dict[str, DataFrame]:
     if job.database:
         publish(spark, job, gold_tables, reviews)
     stars = star(spark, job, reviews)
-    write_table(star_checks(stars, reviews), f"{job.out}/checks")
+    delivered = lost_records(raw_lines(spark, job.raw), marked_bronze(spark, job))
+    write_table(star_checks(stars, reviews).unionByName(delivered), f"{job.out}/checks")
     checks = checked(read_table(spark, f"{job.out}/checks"))
     analyses(spark, job, stars, tables["model_metrics"])
     tables.update({f"star.{k}": v for k, v in stars.items()})

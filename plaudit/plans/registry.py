@@ -22,11 +22,12 @@ from plaudit.operators.scoring import LONGEST_TEXT, score
 from plaudit.plans import catalog, incremental as I, model as ML, named, serving
 from plaudit.plans.refresh import build_marts
 from plaudit.plans.silver import to_silver
-from plaudit.sources import raw as RAW
+from plaudit.sources import raw as RAW, rejects as R
 from plaudit.sources.tables import cast_to
 from plaudit.sources.testdata import (
     TEST_RULES,
     line_reviews,
+    malformed_csv,
     numbered_reviews,
     predictions,
     raw_reviews,
@@ -158,6 +159,18 @@ def bronze_csv_roundtrip(spark, sf):
     return RAW.rename_columns(RAW.read_raw(spark, path))
 
 
+@query
+def bronze_rejects(spark, sf):
+    """Kept and rejected records of a delivery in which reviews of two ratings are malformed."""
+    one_line = raw_reviews(spark, sf).withColumn("summary", F.regexp_replace("summary", "[\\r\\n]+", " "))
+    path = fresh_path(spark, "malformed")
+    malformed_csv(one_line, path, short=F.col("rate") == "2", surplus=F.col("rate") == "4")
+    marked = R.read_marked(spark, f"{path}/*")
+    found = R.kept(marked).groupBy(F.lit("kept").alias("outcome")).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("product_name").alias("different"))
+    dropped = R.rejects(marked).groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(R.RECORD).alias("different"))
+    return found.unionByName(dropped)
+
+
 @query
 def bronze_rename(spark, sf):
     return RAW.rename_columns(raw_reviews(spark, sf).withColumnsRenamed({new: old for old, new in RAW.RAW_NAMES.items()}))
@@ -766,7 +779,7 @@ def ingest_incremental(spark, sf):
         RAW.write_csv(delivery, src, mode="append")
         ingest_new(spark, src, dst, checkpoint)
     ingest_new(spark, src, dst, checkpoint)
-    return spark.read.parquet(dst)
+    return R.kept(spark.read.parquet(dst))
 
 
 @query

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plaudit.functions.rules import band_of, sentiment_of
-from plaudit.sources.raw import BRONZE_COLUMNS
+from plaudit.sources.raw import BRONZE_COLUMNS, CSV_OPTIONS, RAW_NAMES
 
 # category rules that fit the product names of the test tables
 TEST_RULES = (
@@ -65,6 +65,19 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def malformed_csv(reviews: DataFrame, path: str, short: Column, surplus: Column) -> None:
+    """CSV files in which the rows that meet ``short`` lack their last field and those that meet
+    ``surplus`` have one more."""
+    parts = int(reviews.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    options = {**CSV_OPTIONS, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    whole, cut = (F.to_csv(F.struct(*names), options) for names in (BRONZE_COLUMNS, BRONZE_COLUMNS[:-1]))
+    line = F.when(short, cut).when(surplus, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    rows = reviews.select(line.alias("line"), F.pmod(F.monotonically_increasing_id(), F.lit(parts)).alias("part"), F.lit(1).alias("_order"))
+    heads = reviews.sparkSession.range(parts).select(F.lit(",".join(RAW_NAMES)).alias("line"), F.col("id").alias("part"), F.lit(0).alias("_order"))
+    dealt = rows.unionByName(heads).repartition(parts, "part").sortWithinPartitions("part", "_order")
+    dealt.select("line", "part").write.partitionBy("part").text(path)
+
+
 def line_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver-shaped numeric reviews, one per order line, with the date they arrived."""
     lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")

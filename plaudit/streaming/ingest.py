@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from plaudit.sources.raw import CSV_OPTIONS, RAW_SCHEMA, rename_columns
+from plaudit.sources.rejects import MARK_OPTIONS, MARKED_RAW, with_marks
 
 
 def ingest_new(
@@ -18,13 +18,14 @@ def ingest_new(
 
     The checkpoint remembers finished files, so a second run, or a run after a
     failure, adds each file once.  A file whose header differs from the expected
-    one fails the run.
+    one fails the run; a record with too few or too many fields is marked
+    (``plaudit.sources.rejects``).
     """
-    reader = spark.readStream.schema(RAW_SCHEMA).options(**CSV_OPTIONS, enforceSchema="false")
+    reader = spark.readStream.schema(MARKED_RAW).options(**MARK_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
-        rename_columns(reader.csv(src))
+        with_marks(reader.csv(src))
         .writeStream.format("parquet")
         .option("path", dst)
         .option("checkpointLocation", checkpoint)
