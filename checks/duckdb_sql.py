@@ -344,6 +344,12 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'unique product_name, category', (SELECT count(*) FROM lines) - (SELECT count(*) FROM product_keys)""",
     "dq_orphans": """SELECT count(*) AS fact_rows, count(k.product_name) AS matched, count(*) - count(k.product_name) AS orphans
         FROM lines LEFT JOIN (SELECT DISTINCT product_name, category FROM first_lines) k USING (product_name, category)""",
+    **{
+        name: f"""SELECT category, price_band, rating, sentiment, CAST(grouping_id(category, price_band, rating, sentiment) AS BIGINT) AS grouping_id,
+        count(*) AS reviews, sum({MONEY}) AS sum_price, CAST(sum(word_count) AS BIGINT) AS sum_words
+        FROM lines GROUP BY {grains}(category, price_band, rating, sentiment)"""
+        for name, grains in (("gold_rollup", "ROLLUP"), ("gold_all_grains", "CUBE"))
+    },
     "gold_cube": f"""SELECT category, price_band, rating, sentiment, count(*) AS reviews, CAST(round(sum({MONEY}), 0) AS DOUBLE) AS sum_price,
         CAST(sum(word_count) AS BIGINT) AS sum_words FROM silver GROUP BY ALL""",
     "gold_products": "SELECT * FROM products",

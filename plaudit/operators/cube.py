@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,6 +27,39 @@ def published_cube(cells: DataFrame) -> DataFrame:
     return cells.withColumn("sum_price", F.round("sum_price", 0).cast("double")).orderBy("category", "price_band", "rating")
 
 
+def rollup_sets(dims: Sequence[str] = CUBE_DIMS) -> list[tuple[str, ...]]:
+    return [tuple(dims[:n]) for n in range(len(dims), -1, -1)]
+
+
+def cube_sets(dims: Sequence[str] = CUBE_DIMS) -> list[tuple[str, ...]]:
+    return [kept for n in range(len(dims), -1, -1) for kept in combinations(dims, n)]
+
+
+def lattice(cells: DataFrame, dims: Sequence[str] = CUBE_DIMS, sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
+    """Totals at several grains (those of a rollup by default) from the cells of ``cube(..., dims)``.
+
+    Each grain sums up the coarsest grain before it that holds its dimensions, so the reviews are
+    not multiplied by the number of grains.  ``grouping_id`` has a bit for each dimension, the
+    first one highest, set where the row is a total over it; so a null of the data and a total
+    differ.  Store ``cells`` first, as every grain may read them.  No cells give no rows, the
+    grand total included.
+    """
+    sets = [tuple(s) for s in (rollup_sets(dims) if sets is None else sets)]
+    unknown = {name for kept in sets for name in kept} - set(dims)
+    if unknown:
+        raise ValueError(f"not dimensions of the cells: {sorted(unknown)}")
+    types = {name: cells.schema[name].dataType for name in dims}
+    sums = [F.sum("reviews").alias("reviews"), F.sum(F.col("sum_price").cast("decimal(38,2)")).alias("sum_price"), F.sum("sum_words").alias("sum_words")]
+    done: dict[tuple[str, ...], DataFrame] = {tuple(dims): cells}
+    levels = []
+    for kept in sorted(dict.fromkeys(sets), key=len, reverse=True):
+        finer = min((held for held in done if set(kept) <= set(held)), key=len)
+        bits = sum(1 << len(dims) - 1 - i for i, name in enumerate(dims) if name not in kept)
+        done[kept] = done[finer].groupBy(*kept, F.lit(bits).cast("long").alias("grouping_id")).agg(*sums)
+        levels.append(done[kept].select(*(F.col(n) if n in kept else F.lit(None).cast(types[n]).alias(n) for n in dims), "grouping_id", "reviews", "sum_price", "sum_words"))
+    return reduce(DataFrame.unionAll, levels)
+
+
 def product_totals(silver: DataFrame, min_reviews: int = 100) -> DataFrame:
     """Exact sums per (product, category) with enough reviews."""
     return (

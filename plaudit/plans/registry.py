@@ -300,6 +300,20 @@ def dq_orphans(spark, sf):
 
 
 # ---- gold and words ---------------------------------------------------------
+def _line_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, sf, "line_cells", lambda: stage(K.cube(_lines(spark, sf)), "line_cells"))
+
+
+@query
+def gold_rollup(spark, sf):
+    return K.lattice(_line_cells(spark, sf))
+
+
+@query
+def gold_all_grains(spark, sf):
+    return K.lattice(_line_cells(spark, sf), sets=K.cube_sets())
+
+
 @query
 def gold_cube(spark, sf):
     return K.published_cube(K.cube(_silver(spark, sf)))

@@ -37,6 +37,32 @@ def test_cube_sums_money_exactly(spark):
     assert K.published_cube(K.cube(df)).first()["sum_price"] == 1.0
 
 
+def test_lattice_equals_grouping_of_the_reviews(spark, rows):
+    reviews = line_reviews(spark, SMALL).cache()
+    reviews.createOrReplaceTempView("lattice_reviews")
+    found = K.lattice(K.cube(reviews).cache(), sets=K.cube_sets())
+    wanted = spark.sql(
+        """SELECT category, price_band, rating, sentiment, grouping_id() AS grouping_id, count(*) AS reviews,
+        CAST(sum(CAST(price AS DECIMAL(18, 2))) AS DECIMAL(38, 2)) AS sum_price, sum(CAST(word_count AS LONG)) AS sum_words
+        FROM lattice_reviews GROUP BY CUBE(category, price_band, rating, sentiment)"""
+    )
+    assert found.columns == wanted.columns and rows(found) == rows(wanted)
+    assert "Expand" in plan(wanted) and "Expand" not in plan(found)
+
+
+def test_lattice_tells_nulls_from_totals_and_takes_any_sets(spark):
+    data = [(None, "b", 1, "x", 1.0, 2), ("a", "b", 1, "x", 1.5, 3), ("a", None, 1, "x", 2.0, 4)]
+    df = spark.createDataFrame(data, "category string, price_band string, rating int, sentiment string, price double, word_count int")
+    cells = K.cube(df)
+    by_category = {(r["category"], r["grouping_id"]): r["reviews"] for r in K.lattice(cells, sets=[("category",), (), ()]).collect()}
+    assert by_category == {(None, 7): 1, ("a", 7): 2, (None, 15): 3}
+    apart = {(r["grouping_id"], r["price_band"], r["rating"]): str(r["sum_price"]) for r in K.lattice(cells, sets=[["rating"], ["price_band"]]).collect()}
+    assert apart == {(13, None, 1): "4.50", (11, "b", None): "2.50", (11, None, None): "2.00"}
+    assert K.lattice(cells.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="colour"):
+        K.lattice(cells, sets=[("colour",)])
+
+
 def test_products_threshold_and_order(spark):
     data = [("p", "c", 5, "positive", 10.0)] * 3 + [("q", "c", 1, "negative", 1.0)] * 2 + [("r", "c", 3, "neutral", 2.0)] * 2
     df = spark.createDataFrame(data, "product_name string, category string, rating int, sentiment string, price double")
