@@ -13,7 +13,7 @@ from plaudit.operators import words as W
 from plaudit.operators.quality import assert_written, check_constraints, load_counts, orphans, quality_funnel
 from plaudit.operators.star import STAR_TABLES, build_dims, build_fact, fact_rules, keyed_fact
 from plaudit.plans import model as ML, named
-from plaudit.plans.catalog import save_partitioned
+from plaudit.plans.catalog import publish_partitioned
 from plaudit.plans.silver import to_silver
 from plaudit.sources.raw import BRONZE_COLUMNS
 from plaudit.sources.rejects import MARKED_COLUMNS, kept, lost_records, raw_lines, rejects
@@ -142,7 +142,7 @@ def star_checks(star: dict[str, DataFrame], reviews: DataFrame) -> DataFrame:
 def publish(spark: SparkSession, job: Refresh, gold_tables: dict[str, DataFrame], reviews: DataFrame) -> None:
     """Gold tables and the partitioned reviews in the catalog."""
     save_tables({f"gold_{name}": df for name, df in gold_tables.items() if name not in ("cube", "words", "product_totals")}, job.database)
-    save_partitioned(reviews, f"{job.database}.reviews")
+    publish_partitioned(reviews, f"{job.database}.reviews")
 
 
 def analyses(spark: SparkSession, job: Refresh, star: dict[str, DataFrame], metrics: DataFrame) -> None:

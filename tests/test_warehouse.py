@@ -120,6 +120,37 @@ def test_rating_insert(spark, rows):
     assert rows(M.insert_ratings(old, cells)) == [(1,), (3,), (5,)]
 
 
+def folders_of(spark, table):
+    files = spark.table(table).select("category", F.col("_metadata.file_path").alias("f")).distinct().collect()
+    found = {}
+    for r in files:
+        found.setdefault(r["category"], set()).add(r["f"])
+    return found
+
+
+def test_only_changed_folders_are_written(spark, rows):
+    schema = "name string, price double, category string"
+    first = [("a", 1.0, "x"), ("a", 1.0, "x"), ("b", 2.0, "y"), ("c", 3.0, "it's"), ("d", None, None), ("e", 5.0, "gone")]
+    stored = catalog.publish_partitioned(stage(spark.createDataFrame(first, schema), "first"), "review_db.changing")
+    assert rows(stored) == sorted(first, key=repr)
+    before = folders_of(spark, "review_db.changing")
+    # y: another value; x: one copy less; it's: gone; null: same rows, written as an empty string; new: added
+    second = [("a", 1.0, "x"), ("b", 2.5, "y"), ("d", None, ""), ("e", 5.0, "gone"), ("f", 6.0, "new")]
+    df = stage(spark.createDataFrame(second, schema), "second")
+    assert catalog.replace_changed(df, "review_db.changing") == ["it's", "new", "x", "y"]
+    after = folders_of(spark, "review_db.changing")
+    assert rows(spark.table("review_db.changing")) == sorted([("d", None, None) if r[0] == "d" else r for r in second], key=repr)
+    assert after[None] == before[None] and after["gone"] == before["gone"]
+    assert not after["x"] & before["x"] and not after["y"] & before["y"] and "it's" not in after
+    assert catalog.replace_changed(df.select("category", "price", "name"), "review_db.changing") == []
+    assert folders_of(spark, "review_db.changing") == after
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+    assert catalog.replace_changed(df.limit(0), "review_db.changing") == [None, "gone", "new", "x", "y"]
+    assert spark.table("review_db.changing").count() == 0
+    with pytest.raises(ValueError, match="other columns"):
+        catalog.replace_changed(df.drop("price"), "review_db.changing")
+
+
 def test_partitioned_table(spark, silver):
     reviews = catalog.save_partitioned(silver.select(*catalog.REVIEW_COLUMNS), "review_db.reviews")
     assert reviews.count() == silver.count()
