@@ -1,125 +1,123 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of letters.
-
-Letters are folded into ``CLASSES`` classes and the model counts n-grams of ``ORDER`` classes
-in trusted texts.  Counts, continuation counts, statistics of contexts and probabilities are
-tables keyed by n-gram that only meet in joins on it, each shard of keys in its own task.
-The model is asked for the n-grams that the documents hold.  There are at most
-``CLASSES ** ORDER`` of them (5.3 million, 21 MB as single-precision numbers) however large
-the corpus is; with that bound the answers go to every task, which sums them per document.
-
-One model serves all languages; the limits are language-specific: a quantile of the
-log-perplexity of trusted texts that were kept out of training, found with exact counts over
-narrow bins, plus ``SLACK``.  The perplexity of short texts scatters, so each text gets a
-margin that falls with the square root of its length.
-
-Defined cases: null, empty and blank texts have no perplexity and are not kept; a language
-with fewer than ``LEAST_TRUSTED`` held-out trusted texts, or null, takes the limit of all
-languages together; without trusted texts every text with letters is kept; null and repeated
-``doc_id`` are kept, one output row for each input row (a ``doc_id`` is trusted if one of its
-labels says so and none says otherwise); other columns are ignored.
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of words.
+
+The model counts single words and pairs of neighbouring words of trusted texts, as they are
+written: nothing is folded, and words are told apart by BLAKE2 hashes of 64 bits.  Each text
+stands between a start and an end mark.
+
+With interpolation the cost (negative log-probability) of a word in its place is a sum over
+n-grams.  A pair that trusted texts hold costs what the table says; any other costs
+``a(first) + b(second)``, the weight of the first as a context and the cost of the second alone.
+So a text costs ``unseen`` for each word, plus the *charge* of each word and of each pair in
+it, and n-grams without a charge add nothing.
+
+Charges are dealt to shards by hash.  A task over documents sends, for each piece of its
+texts, the distinct n-grams of a shard with their documents as one packed row; the shard joins
+them with its charges and sends back one sum for each document, and the sums meet per document.
+A shard takes ``SHARD_GRAMS`` n-grams of the model, so there are more shards for a larger corpus.
+N-grams that make up at least one part in ``COMMON`` of all occurrences are at most ``COMMON``
+words and as many pairs; their charges go to every task, so no shard gets the lists of a
+frequent word.
+
+Limits are language-specific: a quantile of the log-perplexity of trusted texts that were kept
+out of training, found with exact counts over narrow bins, plus ``SLACK``.  A language's quantile
+is drawn towards the one of all languages by the weight of ``PRIOR`` texts.  The perplexity of
+short texts scatters, so each text gets a margin that falls with the square root of its words.
+
+Defined cases: null, empty and blank texts have no perplexity and are not kept; a null language,
+or one without held-out trusted texts, takes the limit of all languages together; without
+trusted texts to learn from and to set limits with, every text with words is kept; null and
+repeated ``doc_id`` are kept, one output row for each input row (a ``doc_id`` is trusted if one
+of its labels says so and none says otherwise); other columns are ignored by ``judge``, and
+``keep`` returns them.
 """
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from plaudit.llm.chunks import LetterTable, released, text_chunks, texts_of
+from plaudit.llm.chunks import released, text_chunks, texts_of, word_digest
 from plaudit.llm.select import rows_of
 from plaudit.staging import stage
 
-ORDER = 4
-CLASSES = 48
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 8_000_000
+SHARD_GRAMS = 500_000
+COMMON = 1 << 16
 QUANTILE = 0.995
-LEAST_TRUSTED = 50
+PRIOR = 20  # texts
 BIN = 0.001
 SLACK = 0.1  # of log-perplexity, added to the quantile
-MARGIN = 1.5  # of log-perplexity for a text of one letter; falls with the root of the length
-PAD, BLANK, DIGIT, CAPITAL, FOREIGN = 0, 1, 28, 29, 47
-SIGNS = (".", ",", "!?", ":;", "'\"", "-", "()[]{}<>")  # classes 30 to 36; other signs are 37
-
-
-def letter_class(letter: str) -> int:
-    """Letters a to z have classes of their own, others share some."""
-    if letter.isspace():
-        return BLANK
-    if "a" <= letter <= "z":
-        return 2 + ord(letter) - ord("a")
-    if letter.isdecimal():
-        return DIGIT
-    if letter.isupper():
-        return CAPITAL
-    if letter.isalpha():
-        return 38 + ord(letter) % 8
-    if letter.isascii():
-        return next((30 + n for n, signs in enumerate(SIGNS) if letter in signs), 37)
-    return FOREIGN
-
-
-class Grams:
-    """Numbers of the n-grams of texts.  A text is padded in front with ``ORDER - 1`` marks, so
-    each of its letters ends one n-gram; runs of white space count as one blank."""
-
-    def __init__(self):
-        self.table = LetterTable(letter_class)
-
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """N-grams of all texts in a row, and the number of each text's."""
-        texts = [" ".join(text.split()) for text in texts]
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        letters = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        at = np.arange(len(letters)) + np.repeat((ORDER - 1) * np.arange(1, len(texts) + 1), lengths)
-        classes = np.zeros(len(letters) + (ORDER - 1) * len(texts), np.int32)
-        classes[at] = self.table[letters]
-        packed = np.zeros(len(letters), np.int32)
-        for back in range(ORDER):
-            packed += classes[at - back] * CLASSES**back
-        return packed, lengths
-
-
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    grams = Grams()
+MARGIN = 6.0  # of log-perplexity for a text of one word; falls with the root of the length
+START, END = np.uint64(1), np.uint64(2)
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+WORD = re.compile(r"\S+")
+ROW_BITS = 33
+
+
+def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    x = first * MULTIPLIER + second
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts with their marks, in a row, and each text's number of
+    words.  A text without words has no marks."""
+    index: dict[str, int] = {}
+    rows, counts = [], np.zeros(len(texts), np.int64)
+    for at, text in enumerate(texts):
+        row = np.fromiter((index.setdefault(m.group(), len(index) + 2) for m in WORD.finditer(text)), np.int32)
+        counts[at] = len(row)
+        if len(row):
+            rows += [[0], row, [1]]
+    known = np.array([START, END, *(word_digest(w.encode("utf-8", "surrogatepass")) for w in index)], np.uint64)
+    return known[np.concatenate([np.zeros(0, np.int32), *rows]).astype(np.int32)], counts
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for batch in batches:
         for chunk in text_chunks(batch, most=CHUNK_BYTES):
-            yield chunk, *grams.of(texts_of(chunk))
+            yield chunk, *hashed(texts_of(chunk))
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """Rows (gram, n) of the longest n-grams of all texts; a map task sends each once."""
+def owners(counts: np.ndarray) -> np.ndarray:
+    """The text of each word or mark."""
+    return np.repeat(np.arange(len(counts)), np.where(counts, counts + 2, 0))
 
-    def run(batches):
-        total = np.zeros(CLASSES**ORDER, np.int64)
-        for _, packed, _ in chunks(batches):
-            total += np.bincount(packed, minlength=len(total))
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["gram", "n"])
-
-    return texts.select("text").mapInArrow(released(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
+def runs_of(*ordered: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal rows."""
+    differ = np.zeros(max(0, len(ordered[0]) - 1), bool)
+    for column in ordered:
+        differ |= column[1:] != column[:-1]
+    return np.flatnonzero(np.concatenate([[len(ordered[0]) > 0], differ]))
 
-def suffix(gram: Column, size: int) -> Column:
-    """The last ``size`` letters."""
-    return gram % CLASSES**size
 
+# ---- the model ---------------------------------------------------------------
+def count_pairs(texts: DataFrame) -> DataFrame:
+    """Rows (u, v, n): how often word v follows word u; a piece of texts sends each pair once."""
 
-def context(gram: Column) -> Column:
-    """All letters but the last."""
-    return F.floor(gram / CLASSES)
-
+    def run(batches):
+        for _, words, counts in pieces(batches):
+            owner = owners(counts)
+            inside = np.flatnonzero(owner[1:] == owner[:-1])
+            u, v = words[inside], words[inside + 1]
+            order = np.lexsort((v, u))
+            u, v = u[order], v[order]
+            starts = runs_of(u, v)
+            n = np.diff(starts, append=len(u))
+            columns = [pa.array(u[starts].view(np.int64)), pa.array(v[starts].view(np.int64)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, ["u", "v", "n"])
 
-def levels(top: DataFrame) -> list[DataFrame]:
-    """Counts of all orders, shortest first: of the longest n-grams how often they occur, of
-    shorter ones how many different letters stand in front of them."""
-    made = [stage(top, "grams")]
-    for size in range(ORDER - 1, 0, -1):
-        shorter = made[0].select(suffix(F.col("gram"), size).alias("gram"))
-        made.insert(0, stage(shorter.groupBy("gram").agg(F.count("*").alias("n")), "grams"))
-    return made
+    return texts.select("text").mapInArrow(released(run), "u long, v long, n long").groupBy("u", "v").agg(F.sum("n").alias("n"))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -132,78 +130,235 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), i - 0.05) for i, d in enumerate(plain, 1))
 
 
-def probabilities(counts: list[DataFrame], asked: DataFrame) -> DataFrame:
-    """Rows (gram, p) for the asked n-grams.
-
-    Going up from single letters, p(w | h) = (c(hw) - D) / c(h) + gamma(h) * p(w | h'), where
-    h' is h without its first letter; an unseen context passes on p(w | h')."""
-    below = None
-    for size, level in enumerate(counts, 1):
-        d1, d2, d3 = discounts(level)
-        discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        contexts = level.groupBy(context(F.col("gram")).alias("context")).agg(
-            F.sum("n").alias("total"), *(F.count_if(seen).alias(name) for name, seen in (("s1", F.col("n") == 1), ("s2", F.col("n") == 2), ("s3", F.col("n") > 2)))
-        )
-        taken = F.col("s1") * d1 + F.col("s2") * d2 + F.col("s3") * d3
-        wanted = asked if size == len(counts) else asked.select(suffix(F.col("gram"), size).alias("gram")).distinct()
-        joined = (
-            wanted.withColumn("context", context(F.col("gram"))).join(level, "gram", "left").join(contexts, "context", "left")
-        )
-        own = F.coalesce((F.col("n") - discount) / F.col("total"), F.lit(0.0))
-        rest = F.coalesce(taken / F.col("total"), F.lit(1.0))
-        if below is None:
-            joined = joined.withColumn("lower", F.lit(1.0 / CLASSES))
-        else:
-            lower = below.select(F.col("gram").alias("_short"), F.col("p").alias("lower"))
-            joined = joined.join(lower, suffix(F.col("gram"), size - 1) == F.col("_short"))
-        below = stage(joined.select("gram", (own + rest * F.col("lower")).alias("p")), "level")
-    return below
+def taken(d: tuple[float, float, float]) -> Column:
+    """The discount of a count."""
+    return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
 
 
 @dataclass(frozen=True)
 class Model:
-    """Cost (negative log-probability) of the n-grams that the documents hold."""
+    """Cost of a word that trusted texts lack, and the charges of n-grams: tables (u, v, charge,
+    common), where a null ``v`` is the word ``u`` alone."""
+
+    unseen: float
+    charges: DataFrame
+    grams: int
+
+    def common(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys and charges of the common n-grams, at most ``2 * COMMON``."""
+        found = self.charges.filter("common").select("u", "v", "charge").toArrow()
+        u, v, charge = (column.combine_chunks() for column in found.columns)
+        keys = keys_of(u, v)
+        order = np.argsort(keys)
+        return keys[order], charge.to_numpy(zero_copy_only=False)[order]
+
+
+def keys_of(u: pa.Array, v: pa.Array) -> np.ndarray:
+    first = u.to_numpy(zero_copy_only=False).view(np.uint64)
+    alone = v.is_null().to_numpy(zero_copy_only=False)
+    second = v.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+    return np.where(alone, first, pair_key(first, second))
+
+
+def fit(trusted: DataFrame) -> Model | None:
+    """None without a word to learn from.
+
+    p(v) is made of the numbers of different words in front of v, p(v | u) of the counts of
+    pairs; both are discounted, and what is taken goes to the next lower order, at last to a
+    uniform one over all words and an unseen one."""
+    pairs = stage(count_pairs(trusted), "pairs")
+    ends = stage(pairs.groupBy("v").agg(F.count("*").alias("n"), F.sum("n").alias("times")), "words")
+    d = discounts(ends)
+    size, total, lost, words = ends.agg(F.count("*"), F.sum("n"), F.sum(taken(d)), F.sum("times")).first()
+    if not size:
+        return None
+    floor = lost / total / (size + 1)
+    unseen = -math.log(floor)
+    alone = ends.select(
+        F.col("v").alias("_v"), (-F.log((F.col("n") - taken(d)) / total + floor)).alias("_cost"), F.col("times").alias("_times")
+    )
+    d = discounts(pairs)
+    contexts = pairs.groupBy("u").agg(F.sum("n").alias("_total"), F.sum(taken(d)).alias("_lost"))
+    contexts = stage(contexts.select(F.col("u").alias("_u"), "_total", (-F.log(F.col("_lost") / F.col("_total"))).alias("_a")), "contexts")
+    whole = pairs.join(contexts, F.col("u") == F.col("_u")).join(alone, F.col("v") == F.col("_v"))
+    seen = -F.log((F.col("n") - taken(d)) / F.col("_total") + F.exp(-F.col("_a") - F.col("_cost")))
+    common = F.lit(words / COMMON)
+    joint = whole.select("u", "v", (seen - F.col("_a") - F.col("_cost")).alias("charge"), (F.col("n") >= common).alias("common"))
+    single = contexts.join(alone, F.col("_u") == F.col("_v"), "full").select(
+        F.coalesce("_u", "_v").alias("u"),
+        F.lit(None).cast("long").alias("v"),
+        (F.coalesce("_a", F.lit(0.0)) + F.coalesce(F.col("_cost") - unseen, F.lit(0.0))).alias("charge"),
+        (F.greatest("_times", "_total") >= common).alias("common"),
+    )
+    charges = stage(joint.unionByName(single), "charges")
+    return Model(unseen, charges, charges.count())
+
 
-    grams: np.ndarray
-    costs: np.ndarray
+# ---- scores ------------------------------------------------------------------
+ASKED = "shard long, first long, keys binary, rows binary, times binary, doc string, lang string, words long, nats double"
 
-    def table(self) -> np.ndarray:
-        cost = np.zeros(CLASSES**ORDER, np.float32)
-        cost[self.grams] = self.costs
-        return cost
 
+def planes(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as gaps, byte by byte, so that the empty high bytes compress."""
+    gaps = np.diff(numbers, prepend=np.uint64(0))
+    return np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T).tobytes()
 
-def fit(docs: DataFrame, trusted: DataFrame) -> Model:
-    found = probabilities(levels(count_grams(trusted)), count_grams(docs).select("gram"))
-    rows = found.select("gram", (-F.log("p")).cast("float").alias("cost")).toPandas()
-    return Model(rows["gram"].to_numpy(np.int32), rows["cost"].to_numpy(np.float32))
 
+def unplaned(data: bytes) -> np.ndarray:
+    parts = np.frombuffer(data, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(parts).view(np.uint64).ravel(), dtype=np.uint64)
 
-def mean_costs(cost: np.ndarray, packed: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    sums = np.concatenate([[0.0], np.cumsum(cost[packed], dtype=np.float64)])
-    ends = np.cumsum(lengths)
-    return (sums[ends] - sums[ends - lengths]) / np.maximum(lengths, 1)
 
+def found_charges(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys the table holds, and their charges (0 for others)."""
+    known, charge = table
+    if not len(known):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    held = known[at] == keys
+    return held, np.where(held, charge[at], 0.0)
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` columns doc_id, lang, and ``letters`` and ``nats``: their number in the text, and
-    the negative log-probability of a letter under the model."""
+
+def ask(docs: DataFrame, unseen: float, table: tuple[np.ndarray, np.ndarray], shards: int) -> DataFrame:
+    """Two kinds of rows: with null ``shard`` one per document (``first`` is its number), with
+    what its common n-grams cost; the others ask a shard for a piece of texts, whose numbers
+    begin at ``first``: gaps of n-grams, then for each the number of its documents, and these."""
 
     def run(batches):
-        cost = model.table()
-        for chunk, packed, lengths in chunks(batches):
-            nats = mean_costs(cost, packed, lengths)
+        number = TaskContext.get().partitionId() << ROW_BITS
+        width = np.uint64(64 - (shards.bit_length() - 1))
+        for chunk, words, counts in pieces(batches):
+            owner = owners(counts)
+            inside = np.flatnonzero(owner[1:] == owner[:-1])
+            keys = np.concatenate([words, pair_key(words[inside], words[inside + 1])])
+            rows = np.concatenate([owner, owner[inside]]).astype(np.uint32)
+            local, charge = found_charges(keys, table)
+            sums = (counts + 1) * unseen + np.bincount(rows, charge, len(counts))
+            keys, rows = keys[~local], rows[~local]
+            order = np.lexsort((rows, keys))
+            keys, rows = keys[order], rows[order]
+            starts = runs_of(keys)
+            sizes = np.diff(starts, append=len(keys)).astype(np.uint32)
+            keys = keys[starts]
+            shard = (keys >> width).astype(np.int64) if shards > 1 else np.zeros(len(keys), np.int64)
+            cuts = [*runs_of(shard).tolist(), len(keys)]
+            ends = [*starts.tolist(), len(rows)]
+            asked = [
+                (int(shard[a]), planes(keys[a:b]), rows[ends[a] : ends[b]].tobytes(), sizes[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])
+            ]
+            n, none = len(asked), len(counts)
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), chunk.column("lang"), pa.array(lengths), pa.array(nats, mask=lengths == 0)],
-                ["doc_id", "lang", "letters", "nats"],
+                [
+                    pa.array([s for s, *_ in asked] + [None] * none, pa.int64()),
+                    pa.array(np.concatenate([np.full(n, number), number + np.arange(none)])),
+                    *(pa.array([a[i] for a in asked] + [None] * none, pa.binary()) for i in (1, 2, 3)),
+                    pa.concat_arrays([pa.nulls(n, pa.string()), pa.array(chunk.column("doc_id")).cast(pa.string())]),
+                    pa.concat_arrays([pa.nulls(n, pa.string()), pa.array(chunk.column("lang")).cast(pa.string())]),
+                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(counts)]),
+                    pa.concat_arrays([pa.nulls(n, pa.float64()), pa.array(sums)]),
+                ],
+                ["shard", "first", "keys", "rows", "times", "doc", "lang", "words", "nats"],
             )
+            number += none
 
-    key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").mapInArrow(
-        released(run), f"doc_id {key}, lang string, letters long, nats double"
-    )
+    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").mapInArrow(released(run), ASKED)
+
+
+def shard_charges(charges: DataFrame, shards: int) -> DataFrame:
+    """The charges that are not common, dealt to shards."""
+
+    def run(batches):
+        width = np.uint64(64 - (shards.bit_length() - 1))
+        for batch in batches:
+            keys = keys_of(batch.column("u"), batch.column("v"))
+            shard = (keys >> width).astype(np.int64) if shards > 1 else np.zeros(len(keys), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(keys.view(np.int64)), batch.column("charge")], ["shard", "key", "charge"])
 
+    return charges.filter("not common").select("u", "v", "charge").mapInArrow(released(run), "shard long, key long, charge double")
 
+
+def answers(asked: DataFrame, charges: DataFrame, shards: int) -> DataFrame:
+    """Rows (first, shard, rows, sums): for a piece of texts, what n-grams of a shard charge to
+    its documents."""
+    wanted = asked.select("shard", "first", "keys", "rows", "times")
+    both = charges.unionByName(wanted, allowMissingColumns=True).repartition(shards, "shard")
+
+    def run(batches):
+        shard, held, table = None, [], None
+        for batch in batches:
+            at = batch.column("shard").to_numpy()
+            for a, b in zip(cuts := [*runs_of(at).tolist(), len(at)], cuts[1:]):
+                if at[a] != shard:
+                    shard, held, table = at[a], [], None
+                part = batch.slice(a, b - a)
+                model = part.filter(part.column("key").is_valid())
+                held.append((model.column("key").to_numpy().view(np.uint64), model.column("charge").to_numpy().astype(np.float64)))
+                out = []
+                for row in range(model.num_rows, b - a):
+                    if table is None:
+                        keys, charge = (np.concatenate(c) for c in zip(*held))
+                        order = np.argsort(keys)
+                        table, held = (keys[order], charge[order]), []
+                    sizes = np.frombuffer(part.column("times")[row].as_buffer(), np.uint32)
+                    _, charge = found_charges(unplaned(part.column("keys")[row].as_buffer()), table)
+                    rows = np.frombuffer(part.column("rows")[row].as_buffer(), np.uint32)
+                    sums = np.bincount(rows, np.repeat(charge, sizes))
+                    some = np.flatnonzero(sums)
+                    out.append((part.column("first")[row].as_py(), int(shard), some.astype(np.uint32).tobytes(), sums[some].tobytes()))
+                if out:
+                    types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["first", "shard", "rows", "sums"])
+
+    ordered = both.sortWithinPartitions("shard", F.col("key").isNull())
+    return ordered.mapInArrow(released(run), "first long, shard long, rows binary, sums binary")
+
+
+def sums_by_document(answered: DataFrame) -> DataFrame:
+    """Rows (first, more): what the shards charge to the document numbered ``first``; the sums of
+    a piece are added in the order of shards, so they are the same in every run."""
+
+    def run(batches):
+        held, number = np.zeros(0), None
+
+        def done():
+            some = np.flatnonzero(held)
+            return pa.RecordBatch.from_arrays([pa.array(number + some), pa.array(held[some])], ["first", "more"])
+
+        for batch in batches:
+            for first, rows, sums in zip(*(batch.column(c) for c in ("first", "rows", "sums"))):
+                if first.as_py() != number:
+                    if number is not None:
+                        yield done()
+                    held, number = np.zeros(0), first.as_py()
+                at = np.frombuffer(rows.as_buffer(), np.uint32)
+                if len(at):
+                    if at[-1] >= len(held):
+                        held = np.concatenate([held, np.zeros(int(at[-1]) + 1 - len(held))])
+                    held[at] += np.frombuffer(sums.as_buffer(), np.float64)
+        if number is not None:
+            yield done()
+
+    return answered.repartition("first").sortWithinPartitions("first", "shard").mapInArrow(released(run), "first long, more double")
+
+
+def score(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` columns doc_id, lang, and ``words`` and ``nats``: their number in the text, and the
+    mean cost of a word (and of the end) under the model, null without a model or words."""
+    shards = 1 << max(3, math.ceil(model.grams / SHARD_GRAMS).bit_length()) if model else 1
+    none = (np.zeros(0, np.uint64), np.zeros(0))
+    asked = stage(ask(docs, model.unseen if model else 0.0, model.common() if model else none, shards), "asked")
+    told = asked.filter("shard is null")
+    mean = F.col("nats") / (F.col("words") + 1)
+    if model:
+        more = sums_by_document(answers(asked.filter("shard is not null"), shard_charges(model.charges, shards), shards))
+        told = told.join(more, "first", "left")
+        mean = (F.col("nats") + F.coalesce("more", F.lit(0.0))) / (F.col("words") + 1)
+    key = docs.schema["doc_id"].dataType
+    nats = F.when(F.col("words") > 0, mean) if model else F.lit(None).cast("double")
+    return told.select(F.col("doc").cast(key).alias("doc_id"), "lang", "words", nats.alias("nats"))
+
+
+# ---- limits ------------------------------------------------------------------
 def quantiles(scored: DataFrame, share: float) -> DataFrame:
     """Rows (lang, limit, texts) of the ``nats`` below which ``share`` of the texts are; the row
     of null stands for all languages.  Values count in bins, so a language of any size is a
@@ -230,51 +385,42 @@ def testing() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def prepare(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model, dict[str, float], float | None]:
-    """Scores of all documents, the model, the limits of languages (one number each) and the
-    limit of the others (None without trusted texts)."""
-    ids = trusted_ids(labels)
-    trusted = rows_of(docs.select("doc_id", "text"), ids.filter(~testing()))
-    model = fit(docs, trusted)
-    scored = stage(score(docs, model), "scored")
-    held_out = scored.join(ids.filter(testing()), "doc_id", "left_semi")
-    # what remains of a text's own scatter is not part of the limit
-    found = quantiles(held_out.withColumn("nats", F.col("nats") - scatter()), QUANTILE).collect()
-    limits = {r["lang"]: r["limit"] + SLACK for r in found if r["lang"] is not None and r["texts"] >= LEAST_TRUSTED}
-    general = next((r["limit"] + SLACK for r in found if r["lang"] is None), None)
-    return scored, model, limits, general
+def scatter() -> Column:
+    return MARGIN / F.sqrt(F.greatest("words", F.lit(1)))
 
 
-def scatter() -> Column:
-    return MARGIN / F.sqrt(F.greatest("letters", F.lit(1)))
+def judged(docs: DataFrame, labels: DataFrame, number: str = "doc_id") -> DataFrame:
+    """Scores of all documents with ``limit`` and ``kept``; column ``doc_id`` holds ``number``."""
+    ids = trusted_ids(labels)
+    model = fit(rows_of(docs.select("doc_id", "text"), ids.filter(~testing())))
+    named = docs.select(F.col(number).alias("doc_id"), "lang", "text")
+    scored = stage(score(named, model), "scored")
+    held_out = scored
+    if number != "doc_id":
+        held_out = scored.withColumnRenamed("doc_id", number).join(docs.select(number, "doc_id"), number)
+    held_out = held_out.join(ids.filter(testing()), "doc_id", "left_semi")
+    # what remains of a text's own scatter is not part of the limit
+    found = stage(quantiles(held_out.withColumn("nats", F.col("nats") - scatter()), QUANTILE), "limits")
+    general = found.filter("lang is null").select("limit").scalar()
+    own = found.filter("lang is not null").select(F.col("lang").alias("_lang"), F.col("limit").alias("_own"), "texts")
+    rows = scored.join(own, F.col("lang") == F.col("_lang"), "left")
+    weight = F.coalesce("texts", F.lit(0))
+    limit = (weight * F.coalesce("_own", F.lit(0.0)) + PRIOR * general) / (weight + PRIOR) + SLACK + scatter()
+    good = (F.col("words") > 0) & F.coalesce(F.col("nats") <= limit, F.lit(True))
+    return rows.select("doc_id", "lang", "words", "nats", limit.alias("limit"), good.alias("kept"))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``lang``, ``perplexity`` of a letter, ``limit`` and
+    """One row per document: ``doc_id``, ``lang``, ``perplexity`` of a word, ``limit`` and
     ``kept``."""
-    scored, _, limits, general = prepare(docs, labels)
-    own = F.lit(general).cast("double")
-    for lang, limit in limits.items():
-        own = F.when(F.col("lang") == lang, F.lit(limit)).otherwise(own)
-    return scored.withColumn("limit", own + scatter()).select(
-        "doc_id",
-        "lang",
-        F.exp("nats").alias("perplexity"),
-        F.exp("limit").alias("limit"),
-        (F.col("nats").isNotNull() & F.coalesce(F.col("nats") <= F.col("limit"), F.lit(True))).alias("kept"),
+    return judged(docs, labels).select(
+        "doc_id", "lang", F.exp("nats").alias("perplexity"), F.exp("limit").alias("limit"), "kept"
     )
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that ``judge`` keeps, decided row by row in a pass over the texts."""
-    _, model, limits, general = prepare(docs, labels)
-
-    def run(batches):
-        cost = model.table()
-        for chunk, packed, lengths in chunks(batches):
-            nats = mean_costs(cost, packed, lengths)
-            own = [limits.get(lang, general) for lang in chunk.column("lang").to_pylist()]
-            limit = np.array([np.inf if x is None else x for x in own]) + MARGIN / np.sqrt(np.maximum(lengths, 1))
-            yield chunk.filter(pa.array((lengths > 0) & (nats <= limit)))
-
-    return docs.mapInArrow(released(run), docs.schema)
+    """Rows of ``docs`` that ``judge`` keeps.  They are numbered in a written copy, so that rows
+    with null or repeated ids are each judged on their own; a column ``_row`` is not allowed."""
+    numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    gone = judged(numbered, labels, "_row").filter("not kept").select(F.col("doc_id").alias("_row"))
+    return numbered.join(stage(gone, "gone"), "_row", "left_anti").select(*docs.columns)

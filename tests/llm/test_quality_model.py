@@ -1,8 +1,10 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plaudit.llm import kneser_ney as K
 from plaudit.llm.registry import QUERIES
@@ -10,12 +12,12 @@ from tests.conftest import SMALL, plan
 
 
 class Plain:
-    """The model by its definition, with dictionaries."""
+    """The model by its definition, with dictionaries of words."""
 
     def __init__(self, texts):
-        self.counts = {K.ORDER: Counter(g for t in texts for g in self.grams(t))}
-        for size in range(K.ORDER - 1, 0, -1):
-            self.counts[size] = Counter(g[1:] for g in self.counts[size + 1])
+        pairs = Counter(p for t in texts for p in self.pairs(t))
+        ends = Counter(v for _, v in pairs)
+        self.counts = {1: {(v,): c for v, c in ends.items()}, 2: pairs}
         self.d, self.context = {}, {}
         for size, counts in self.counts.items():
             n1, n2, n3, n4 = (max(1, sum(c == i for c in counts.values())) for i in (1, 2, 3, 4))
@@ -28,47 +30,87 @@ class Plain:
                 stats[gram[:-1]][1] += self.d[size][min(c, 3)]
             self.context[size] = stats
 
-    def classes(self, text):
-        return [K.letter_class(c) for c in " ".join((text or "").split())]
-
-    def grams(self, text):
-        row = [0] * (K.ORDER - 1) + self.classes(text)
-        return [tuple(row[i : i + K.ORDER]) for i in range(len(row) - K.ORDER + 1)]
+    @staticmethod
+    def pairs(text):
+        words = (text or "").split()
+        row = ["<start>", *words, "<end>"] if words else []
+        return list(zip(row, row[1:]))
 
     def p(self, gram):
         if not gram:
-            return 1 / K.CLASSES
+            return 1 / (len(self.counts[1]) + 1)
         size = len(gram)
         lower = self.p(gram[1:])
         if gram[:-1] not in self.context[size]:
             return lower
         total, taken = self.context[size][gram[:-1]]
-        c = self.counts[size][gram]
+        c = self.counts[size].get(gram, 0)
         return (max(c - self.d[size][min(c, 3)], 0) if c else 0) / total + taken / total * lower
 
     def nats(self, text):
-        grams = self.grams(text)
-        return -sum(math.log(self.p(g)) for g in grams) / len(grams) if grams else None
+        pairs = self.pairs(text)
+        return -sum(math.log(self.p(g)) for g in pairs) / len(pairs) if pairs else None
 
 
-TRUSTED = ["the cat sat on the mat", "a dog, a log; the end.", "été à la mer 漢字", "HELLO World 12"]
-TEXTS = ["the cat", "zzz!! ZZZ", "", None, "  \n ", "mer\n\n the   end", "漢 é", "the cat " * 40_000]
+TRUSTED = ["the cat sat on the mat", "a dog, a log; the end.", "\u00e9t\u00e9 \u00e0 la mer \u6f22\u5b57", "HELLO World 12", "the cat sat", "x" * 5000]
+TEXTS = ["the cat", "zzz!! ZZZ", "", None, "  \n ", "mer\n\n the   end", "hello \u6f22\u5b57", "the cat " * 40_000, "x" * 5000, "x" * 4999 + "y", "\u00e9t\u00e9 \u00e0 Rome"]
 
 
-def test_scores_equal_the_plain_model(spark):
-    docs = spark.createDataFrame([(i, t, "x", "n") for i, t in enumerate(TEXTS)], "doc_id long, text string, lang string, nats string")
-    trusted = spark.createDataFrame([(t,) for t in TRUSTED + [None, ""]], "text string")
-    out = {r.doc_id: r.nats for r in K.score(docs, K.fit(docs, trusted)).collect()}
+@pytest.mark.parametrize("common", [1, K.COMMON])
+def test_scores_equal_the_plain_model(spark, monkeypatch, common):
+    """With all charges in the shards (but of n-grams as frequent as all together), and with most of them at hand."""
+    monkeypatch.setattr(K, "COMMON", common)
+    monkeypatch.setattr(K, "CHUNK_BYTES", 40)
+    rows = [(i, t, "x", "n") for i, t in enumerate(TEXTS)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, nats string").repartition(3)
+    trusted = spark.createDataFrame([(t,) for t in TRUSTED + [None, ""]], "text string").repartition(2)
+    fitted = K.fit(trusted)
+    out = K.score(docs, fitted).collect()
     model = Plain(TRUSTED)
-    for i, text in enumerate(TEXTS):
-        want = model.nats(text)
-        assert out[i] == (None if want is None else pytest.approx(want, rel=1e-5))
+    assert fitted.charges.filter("common").count() <= 2 * common and len(out) == len(rows)
+    for r in out:
+        want = model.nats(TEXTS[r.doc_id])
+        assert r.nats == (None if want is None else pytest.approx(want, rel=1e-6))
+
+
+def test_what_is_gathered_grows_with_the_corpus(spark):
+    texts = spark.range(400).select(F.concat_ws(" ", *(F.sha2((F.col("id") * 9 + i).cast("string"), 256) for i in range(9))).alias("text"))
+    sizes = [K.fit(texts.limit(n)).grams for n in (100, 400)]
+    assert sizes[0] > 100 * 18 and sizes[1] == pytest.approx(4 * sizes[0], rel=0.01)
+
+
+def test_shards_hold_every_charge_once(spark):
+    model = K.fit(spark.createDataFrame([(t,) for t in TRUSTED], "text string"))
+    rare = model.charges.withColumn("common", F.lit(False))
+    keys = [(r.shard, r.key & (1 << 64) - 1) for r in K.shard_charges(rare, 8).collect()]
+    assert len({k for _, k in keys}) == len(keys) == model.grams
+    assert all(k >> 61 == s for s, k in keys)
 
 
 def test_probabilities_sum_to_one():
     model = Plain(TRUSTED)
-    for context in [(0, 0, 0), (1, 2, 3), (21, 9, 6)]:
-        assert sum(model.p((*context, w)) for w in range(K.CLASSES)) == pytest.approx(1)
+    words = [v for v, in model.counts[1]]
+    for context in ("the", "<start>", "a", "never seen"):
+        assert sum(model.p((context, w)) for w in [*words, "unseen"]) == pytest.approx(1)
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 1000):
+        numbers = np.unique(rng.integers(0, 2**64 - 1, n, dtype=np.uint64, endpoint=True))
+        assert (K.unplaned(K.planes(numbers)) == numbers).all()
+
+
+def test_limits_shrink_towards_the_common_one(spark):
+    """A language with few held-out texts has no switch of its own."""
+    texts = ["w%d w%d w%d" % (i % 5, i % 7, i % 11) for i in range(300)]
+    rows = [(i, t, "aa" if i % 30 else "bb") for i, t in enumerate(texts)] + [(1000, "w1 w2 w3", None), (1001, "w1 w2 w3", "cc")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in K.judge(docs, labels).collect()}
+    assert len(out) == 302 and out[1000].limit == pytest.approx(out[1001].limit)
+    one, two, none = (math.log(out[i].limit) for i in (1, 30, 1000))
+    assert abs(one - none) < 1 and abs(two - none) < 1
 
 
 def test_quantiles_count_all_rows(spark):
@@ -103,3 +145,18 @@ def test_query_separates_labelled_documents(spark):
     clean = [kept[r.doc_id] for r in labels if r.quality == 1 and not r.toxic]
     junk = [kept[r.doc_id] for r in labels if r.quality == 0]
     assert np.mean(clean) >= 0.99 and np.mean(junk) <= 0.15
+
+
+def test_other_scripts_and_gibberish_go_and_copies_stay(spark):
+    sf = SMALL.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text"), spark.read.parquet(f"{sf}/labels.parquet")
+    rng = random.Random(1)
+    other = ["\u043f\u0440\u0438\u0432\u0435\u0442", "\u043c\u0438\u0440", "\u0434\u043e\u043c", "\u0441\u043b\u043e\u0432\u043e"]
+    ids = {r.doc_id for r in labels.collect() if r.quality == 1 and not r.toxic}
+    clean = [r for r in docs.filter("length(text) > 200").collect() if r.doc_id in ids][:50]
+    planted = [(10_000 + i, r.lang, r.text) for i, r in enumerate(clean)]
+    planted += [(20_000 + i, r.lang, " ".join(rng.choices(other, k=80))) for i, r in enumerate(clean)]
+    planted += [(30_000 + i, r.lang, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=500))) for i, r in enumerate(clean)]
+    out = K.judge(docs.unionByName(spark.createDataFrame(planted, docs.schema)), labels).collect()
+    kept = {kind: np.mean([r.kept for r in out if r.doc_id // 10_000 == kind]) for kind in (1, 2, 3)}
+    assert kept[1] >= 0.98 and kept[2] <= 0.1 and kept[3] <= 0.1
