@@ -1,123 +1,131 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of words.
-
-The model counts single words and pairs of neighbouring words of trusted texts, as they are
-written: nothing is folded, and words are told apart by BLAKE2 hashes of 64 bits.  Each text
-stands between a start and an end mark.
-
-With interpolation the cost (negative log-probability) of a word in its place is a sum over
-n-grams.  A pair that trusted texts hold costs what the table says; any other costs
-``a(first) + b(second)``, the weight of the first as a context and the cost of the second alone.
-So a text costs ``unseen`` for each word, plus the *charge* of each word and of each pair in
-it, and n-grams without a charge add nothing.
-
-Charges are dealt to shards by hash.  A task over documents sends, for each piece of its
-texts, the distinct n-grams of a shard with their documents as one packed row; the shard joins
-them with its charges and sends back one sum for each document, and the sums meet per document.
-A shard takes ``SHARD_GRAMS`` n-grams of the model, so there are more shards for a larger corpus.
-N-grams that make up at least one part in ``COMMON`` of all occurrences are at most ``COMMON``
-words and as many pairs; their charges go to every task, so no shard gets the lists of a
-frequent word.
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of letters.
+
+The model counts n-grams of ``ORDER`` letters of trusted texts.  Letters are code points as they
+are written, nothing is folded: an n-gram is a pair (c, w) of its context, ``ORDER - 1`` letters of
+21 bits each, and its last letter.  Its tables grow with the n-grams of the corpus.  Counts,
+continuation counts, statistics of contexts and probabilities are tables keyed by n-gram that
+only meet in joins on it, each shard of keys in its own task.  The model is asked for the
+n-grams that the documents hold.
+
+Texts stay where they are: a task over documents sends, for each piece of its texts, the distinct
+n-grams of a shard with the documents they are in as one packed row; the shard joins them with
+their costs and sends back one sum for each document, and the sums meet per document.  A shard
+takes about ``SHARD_GRAMS`` n-grams, so there are more shards for a larger corpus.  N-grams that
+make up at least one part in ``COMMON`` of all letters are at most ``COMMON`` (21 MB); their costs
+go to every task, so no shard gets the lists of a frequent n-gram.
 
 Limits are language-specific: a quantile of the log-perplexity of trusted texts that were kept
 out of training, found with exact counts over narrow bins, plus ``SLACK``.  A language's quantile
 is drawn towards the one of all languages by the weight of ``PRIOR`` texts.  The perplexity of
-short texts scatters, so each text gets a margin that falls with the square root of its words.
+short texts scatters, so each text gets a margin that falls with the square root of its length.
 
 Defined cases: null, empty and blank texts have no perplexity and are not kept; a null language,
 or one without held-out trusted texts, takes the limit of all languages together; without
-trusted texts to learn from and to set limits with, every text with words is kept; null and
-repeated ``doc_id`` are kept, one output row for each input row (a ``doc_id`` is trusted if one
-of its labels says so and none says otherwise); other columns are ignored by ``judge``, and
-``keep`` returns them.
+held-out trusted texts every text with letters is kept; null and repeated ``doc_id`` are kept, one
+output row for each input row (a ``doc_id`` is trusted if one of its labels says so and none says
+otherwise); other columns are ignored by ``judge``, and ``keep`` returns them.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from plaudit.llm.chunks import released, text_chunks, texts_of, word_digest
+from plaudit.llm.chunks import released, text_chunks, texts_of
 from plaudit.llm.select import rows_of
 from plaudit.staging import stage
 
-CHUNK_BYTES = 8_000_000
+ORDER = 4
+BITS = 21  # of a code point and one; 0 stands in front of a text
+LETTERS = 0x110000
+CHUNK_BYTES = 4_000_000
 SHARD_GRAMS = 500_000
-COMMON = 1 << 16
+COMMON = 1 << 20
 QUANTILE = 0.995
 PRIOR = 20  # texts
 BIN = 0.001
 SLACK = 0.1  # of log-perplexity, added to the quantile
-MARGIN = 6.0  # of log-perplexity for a text of one word; falls with the root of the length
-START, END = np.uint64(1), np.uint64(2)
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-WORD = re.compile(r"\S+")
+MARGIN = 1.5  # of log-perplexity for a text of one letter; falls with the root of the length
 ROW_BITS = 33
 
-
-def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    x = first * MULTIPLIER + second
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts with their marks, in a row, and each text's number of
-    words.  A text without words has no marks."""
-    index: dict[str, int] = {}
-    rows, counts = [], np.zeros(len(texts), np.int64)
-    for at, text in enumerate(texts):
-        row = np.fromiter((index.setdefault(m.group(), len(index) + 2) for m in WORD.finditer(text)), np.int32)
-        counts[at] = len(row)
-        if len(row):
-            rows += [[0], row, [1]]
-    known = np.array([START, END, *(word_digest(w.encode("utf-8", "surrogatepass")) for w in index)], np.uint64)
-    return known[np.concatenate([np.zeros(0, np.int32), *rows]).astype(np.int32)], counts
-
-
-def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+Grams = tuple[np.ndarray, np.ndarray]  # contexts and last letters
+
+
+def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letters of all texts, each text padded in front with ``ORDER - 1`` zeros; where the letters
+    themselves stand; and how many each text has.  Runs of white space count as one blank."""
+    texts = [" ".join(text.split()) for text in texts]
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    letters = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = np.arange(len(letters)) + np.repeat((ORDER - 1) * np.arange(1, len(texts) + 1), lengths)
+    padded = np.zeros(len(letters) + (ORDER - 1) * len(texts), np.uint32)
+    padded[at] = letters + 1
+    return padded, at, lengths
+
+
+def distinct(padded: np.ndarray, at: np.ndarray) -> Iterator[tuple[Grams, np.ndarray, slice]]:
+    """Distinct n-grams that end at the places ``at``, and which of them ends at each place.
+
+    Letters get numbers of 16 bits, so that an n-gram is one number; places that hold more
+    different letters than that are taken in slices too short to."""
+    used = np.zeros(1 << BITS, bool)
+    used[padded] = True
+    step = max(1, len(at)) if np.count_nonzero(used) <= 1 << 16 else (1 << 16) // ORDER
+    for start in range(0, len(at), step):
+        ends = at[start : start + step]
+        used[:] = False
+        for back in range(ORDER):
+            used[padded[ends - back]] = True
+        alphabet = np.flatnonzero(used).astype(np.uint64)
+        number = np.zeros(1 << BITS, np.uint16)
+        number[alphabet] = np.arange(len(alphabet))
+        packed = np.zeros(len(ends), np.uint64)
+        for back in range(ORDER):
+            packed |= number[padded[ends - back]].astype(np.uint64) << np.uint64(16 * back)
+        found, which = np.unique(packed, return_inverse=True)
+        letter = [alphabet[(found >> np.uint64(16 * back)) & np.uint64(0xFFFF)] for back in range(ORDER)]
+        context = sum((letter[back] << np.uint64(BITS * (back - 1)) for back in range(1, ORDER)), np.zeros(len(found), np.uint64))
+        yield (context, letter[0]), which, slice(start, start + len(ends))
+
+
+def chunks(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for chunk in text_chunks(batch, most=CHUNK_BYTES):
-            yield chunk, *hashed(texts_of(chunk))
+            padded, at, lengths = windows(texts_of(chunk))
+            yield chunk, lengths, distinct(padded, at)
 
 
-def owners(counts: np.ndarray) -> np.ndarray:
-    """The text of each word or mark."""
-    return np.repeat(np.arange(len(counts)), np.where(counts, counts + 2, 0))
+# ---- the model ---------------------------------------------------------------
+def count_grams(texts: DataFrame) -> DataFrame:
+    """Rows (c, w, n) of the longest n-grams of all texts; a piece of texts sends each once."""
 
+    def run(batches):
+        for _, _, parts in chunks(batches):
+            for (c, w), which, _ in parts:
+                columns = [pa.array(c.view(np.int64)), pa.array(w.astype(np.int32)), pa.array(np.bincount(which, minlength=len(c)))]
+                yield pa.RecordBatch.from_arrays(columns, ["c", "w", "n"])
 
-def runs_of(*ordered: np.ndarray) -> np.ndarray:
-    """Starts of the runs of equal rows."""
-    differ = np.zeros(max(0, len(ordered[0]) - 1), bool)
-    for column in ordered:
-        differ |= column[1:] != column[:-1]
-    return np.flatnonzero(np.concatenate([[len(ordered[0]) > 0], differ]))
+    return texts.select("text").mapInArrow(released(run), "c long, w int, n long").groupBy("c", "w").agg(F.sum("n").alias("n"))
 
 
-# ---- the model ---------------------------------------------------------------
-def count_pairs(texts: DataFrame) -> DataFrame:
-    """Rows (u, v, n): how often word v follows word u; a piece of texts sends each pair once."""
+def shortened(size: int) -> Column:
+    """The context of the last ``size`` letters."""
+    return F.col("c") % F.lit(1 << BITS * (size - 1)).cast("long")
 
-    def run(batches):
-        for _, words, counts in pieces(batches):
-            owner = owners(counts)
-            inside = np.flatnonzero(owner[1:] == owner[:-1])
-            u, v = words[inside], words[inside + 1]
-            order = np.lexsort((v, u))
-            u, v = u[order], v[order]
-            starts = runs_of(u, v)
-            n = np.diff(starts, append=len(u))
-            columns = [pa.array(u[starts].view(np.int64)), pa.array(v[starts].view(np.int64)), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(columns, ["u", "v", "n"])
 
-    return texts.select("text").mapInArrow(released(run), "u long, v long, n long").groupBy("u", "v").agg(F.sum("n").alias("n"))
+def levels(top: DataFrame) -> list[DataFrame]:
+    """Counts of all orders, shortest first: of the longest n-grams how often they occur, of
+    shorter ones how many different letters stand in front of them."""
+    made = [stage(top, "grams")]
+    for size in range(ORDER - 1, 0, -1):
+        shorter = made[0].select(shortened(size).alias("c"), "w")
+        made.insert(0, stage(shorter.groupBy("c", "w").agg(F.count("*").alias("n")), "grams"))
+    return made
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -135,67 +143,74 @@ def taken(d: tuple[float, float, float]) -> Column:
     return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
 
 
-@dataclass(frozen=True)
-class Model:
-    """Cost of a word that trusted texts lack, and the charges of n-grams: tables (u, v, charge,
-    common), where a null ``v`` is the word ``u`` alone."""
-
-    unseen: float
-    charges: DataFrame
-    grams: int
-
-    def common(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted keys and charges of the common n-grams, at most ``2 * COMMON``."""
-        found = self.charges.filter("common").select("u", "v", "charge").toArrow()
-        u, v, charge = (column.combine_chunks() for column in found.columns)
-        keys = keys_of(u, v)
-        order = np.argsort(keys)
-        return keys[order], charge.to_numpy(zero_copy_only=False)[order]
-
-
-def keys_of(u: pa.Array, v: pa.Array) -> np.ndarray:
-    first = u.to_numpy(zero_copy_only=False).view(np.uint64)
-    alone = v.is_null().to_numpy(zero_copy_only=False)
-    second = v.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
-    return np.where(alone, first, pair_key(first, second))
-
-
-def fit(trusted: DataFrame) -> Model | None:
-    """None without a word to learn from.
-
-    p(v) is made of the numbers of different words in front of v, p(v | u) of the counts of
-    pairs; both are discounted, and what is taken goes to the next lower order, at last to a
-    uniform one over all words and an unseen one."""
-    pairs = stage(count_pairs(trusted), "pairs")
-    ends = stage(pairs.groupBy("v").agg(F.count("*").alias("n"), F.sum("n").alias("times")), "words")
-    d = discounts(ends)
-    size, total, lost, words = ends.agg(F.count("*"), F.sum("n"), F.sum(taken(d)), F.sum("times")).first()
-    if not size:
-        return None
-    floor = lost / total / (size + 1)
-    unseen = -math.log(floor)
-    alone = ends.select(
-        F.col("v").alias("_v"), (-F.log((F.col("n") - taken(d)) / total + floor)).alias("_cost"), F.col("times").alias("_times")
-    )
-    d = discounts(pairs)
-    contexts = pairs.groupBy("u").agg(F.sum("n").alias("_total"), F.sum(taken(d)).alias("_lost"))
-    contexts = stage(contexts.select(F.col("u").alias("_u"), "_total", (-F.log(F.col("_lost") / F.col("_total"))).alias("_a")), "contexts")
-    whole = pairs.join(contexts, F.col("u") == F.col("_u")).join(alone, F.col("v") == F.col("_v"))
-    seen = -F.log((F.col("n") - taken(d)) / F.col("_total") + F.exp(-F.col("_a") - F.col("_cost")))
-    common = F.lit(words / COMMON)
-    joint = whole.select("u", "v", (seen - F.col("_a") - F.col("_cost")).alias("charge"), (F.col("n") >= common).alias("common"))
-    single = contexts.join(alone, F.col("_u") == F.col("_v"), "full").select(
-        F.coalesce("_u", "_v").alias("u"),
-        F.lit(None).cast("long").alias("v"),
-        (F.coalesce("_a", F.lit(0.0)) + F.coalesce(F.col("_cost") - unseen, F.lit(0.0))).alias("charge"),
-        (F.greatest("_times", "_total") >= common).alias("common"),
-    )
-    charges = stage(joint.unionByName(single), "charges")
-    return Model(unseen, charges, charges.count())
+def costs(counts: list[DataFrame], asked: DataFrame) -> DataFrame:
+    """Rows (c, w, times, cost) for the asked n-grams: the negative log of their probability.
+
+    Going up from single letters, p(w | h) = (n(hw) - D) / n(h) + gamma(h) * p(w | h'), where
+    h' is h without its first letter; an unseen context passes on p(w | h')."""
+    below = None
+    for size, level in enumerate(counts, 1):
+        d = discounts(level)
+        contexts = level.groupBy("c").agg(F.sum("n").alias("total"), F.sum(taken(d)).alias("lost"))
+        wanted = asked if size == len(counts) else asked.select(shortened(size).alias("c"), "w").distinct()
+        joined = wanted.join(level, ["c", "w"], "left").join(contexts, "c", "left")
+        if below is None:
+            joined = joined.withColumn("lower", F.lit(1.0 / LETTERS))
+        else:
+            lower = below.select(F.col("c").alias("_c"), F.col("w").alias("_w"), F.col("p").alias("lower"))
+            joined = joined.join(lower, (shortened(size - 1) == F.col("_c")) & (F.col("w") == F.col("_w")))
+        own = F.when(F.col("n") > 0, (F.col("n") - taken(d)) / F.col("total")).otherwise(0.0)
+        rest = F.coalesce(F.col("lost") / F.col("total"), F.lit(1.0))
+        kept = ["c", "w"] if size < len(counts) else ["c", "w", "times"]
+        below = stage(joined.select(*kept, (own + rest * F.col("lower")).alias("p")), "level")
+    return below.select("c", "w", "times", (-F.log("p")).alias("cost"))
+
+
+def fit(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Costs of the n-grams of ``docs`` under the model of ``trusted``."""
+    asked = stage(count_grams(docs).withColumnRenamed("n", "times"), "asked")
+    return stage(costs(levels(count_grams(trusted)), asked), "costs")
 
 
 # ---- scores ------------------------------------------------------------------
-ASKED = "shard long, first long, keys binary, rows binary, times binary, doc string, lang string, words long, nats double"
+ASKED = "shard long, first long, c binary, w binary, docs binary, runs binary, times binary, doc string, lang string, letters long, nats double"
+
+
+class Costs:
+    """A table of costs in memory, looked up by n-gram."""
+
+    def __init__(self, c: np.ndarray, w: np.ndarray, cost: np.ndarray):
+        order = np.lexsort((w, c))
+        self.contexts, first = np.unique(c[order], return_index=True)
+        place = np.repeat(np.arange(len(first), dtype=np.uint64), np.diff(first, append=len(c)))
+        self.keys = place << np.uint64(BITS) | w[order].astype(np.uint64)
+        self.cost = cost[order]
+
+    def of(self, c: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which n-grams are in the table, and their costs (0 for others)."""
+        if not len(self.keys):
+            return np.zeros(len(c), bool), np.zeros(len(c))
+        place = np.minimum(np.searchsorted(self.contexts, c), len(self.contexts) - 1)
+        keys = place.astype(np.uint64) << np.uint64(BITS) | w
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        held = (self.contexts[place] == c) & (self.keys[at] == keys)
+        return held, np.where(held, self.cost[at], 0.0)
+
+
+def common(found: DataFrame) -> tuple[Column, tuple[np.ndarray, ...]]:
+    """Which n-grams are common, and contexts, letters and costs of those: at most ``COMMON`` rows."""
+    letters = found.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
+    often = F.col("times") >= F.lit(letters / COMMON)
+    table = found.filter(often).select("c", "w", F.col("cost").cast("float").alias("cost")).toArrow()
+    c, w, cost = (column.combine_chunks().to_numpy(zero_copy_only=False) for column in table.columns)
+    return often, (c.astype(np.int64).view(np.uint64), w.astype(np.uint32), cost)
+
+
+def shard_of(c: np.ndarray, w: np.ndarray, shards: int) -> np.ndarray:
+    """Shards, a power of two, from a hash of the n-gram."""
+    x = (c ^ (c >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(27))) & np.uint64(shards - 1)).astype(np.int64)
 
 
 def planes(numbers: np.ndarray) -> bytes:
@@ -209,112 +224,107 @@ def unplaned(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(parts).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def found_charges(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Which keys the table holds, and their charges (0 for others)."""
-    known, charge = table
-    if not len(known):
-        return np.zeros(len(keys), bool), np.zeros(len(keys))
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    held = known[at] == keys
-    return held, np.where(held, charge[at], 0.0)
-
-
-def ask(docs: DataFrame, unseen: float, table: tuple[np.ndarray, np.ndarray], shards: int) -> DataFrame:
+def ask(docs: DataFrame, known: tuple[np.ndarray, ...], shards: int) -> DataFrame:
     """Two kinds of rows: with null ``shard`` one per document (``first`` is its number), with
     what its common n-grams cost; the others ask a shard for a piece of texts, whose numbers
-    begin at ``first``: gaps of n-grams, then for each the number of its documents, and these."""
+    begin at ``first``: n-grams by context, and the documents of each with how often they hold it."""
 
     def run(batches):
         number = TaskContext.get().partitionId() << ROW_BITS
-        width = np.uint64(64 - (shards.bit_length() - 1))
-        for chunk, words, counts in pieces(batches):
-            owner = owners(counts)
-            inside = np.flatnonzero(owner[1:] == owner[:-1])
-            keys = np.concatenate([words, pair_key(words[inside], words[inside + 1])])
-            rows = np.concatenate([owner, owner[inside]]).astype(np.uint32)
-            local, charge = found_charges(keys, table)
-            sums = (counts + 1) * unseen + np.bincount(rows, charge, len(counts))
-            keys, rows = keys[~local], rows[~local]
-            order = np.lexsort((rows, keys))
-            keys, rows = keys[order], rows[order]
-            starts = runs_of(keys)
-            sizes = np.diff(starts, append=len(keys)).astype(np.uint32)
-            keys = keys[starts]
-            shard = (keys >> width).astype(np.int64) if shards > 1 else np.zeros(len(keys), np.int64)
-            cuts = [*runs_of(shard).tolist(), len(keys)]
-            ends = [*starts.tolist(), len(rows)]
-            asked = [
-                (int(shard[a]), planes(keys[a:b]), rows[ends[a] : ends[b]].tobytes(), sizes[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])
-            ]
-            n, none = len(asked), len(counts)
+        table = Costs(*known)
+        for chunk, lengths, parts in chunks(batches):
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            sums, asked = np.zeros(len(lengths)), []
+            for (c, w), which, place in parts:
+                mine = owner[place]
+                held, cost = table.of(c, w)
+                sums += np.bincount(mine, cost[which], len(lengths))
+                rare = np.flatnonzero(~held[which])
+                # one row for each n-gram of each document
+                pair, times = np.unique(which[rare].astype(np.uint64) << np.uint64(32) | mine[rare].astype(np.uint64), return_counts=True)
+                gram = (pair >> np.uint64(32)).astype(np.int64)
+                shard = shard_of(c[gram], w[gram], shards)
+                order = np.lexsort((w[gram], c[gram], shard))
+                gram, shard, times = gram[order], shard[order], times[order].astype(np.uint32)
+                holder = (pair[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                for a, b in spans(shard):
+                    starts = np.flatnonzero(np.concatenate([[True], gram[a + 1 : b] != gram[a : b - 1]])) + a
+                    runs = np.diff(starts, append=b).astype(np.uint32)
+                    data = (planes(c[gram[starts]]), w[gram[starts]].astype(np.uint32), holder[a:b], runs, times[a:b])
+                    asked.append((int(shard[a]), data[0], *(x.tobytes() for x in data[1:])))
+            n, none = len(asked), len(lengths)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([s for s, *_ in asked] + [None] * none, pa.int64()),
                     pa.array(np.concatenate([np.full(n, number), number + np.arange(none)])),
-                    *(pa.array([a[i] for a in asked] + [None] * none, pa.binary()) for i in (1, 2, 3)),
-                    pa.concat_arrays([pa.nulls(n, pa.string()), pa.array(chunk.column("doc_id")).cast(pa.string())]),
-                    pa.concat_arrays([pa.nulls(n, pa.string()), pa.array(chunk.column("lang")).cast(pa.string())]),
-                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(counts)]),
+                    *(pa.array([a[i] for a in asked] + [None] * none, pa.binary()) for i in range(1, 6)),
+                    pa.concat_arrays([pa.nulls(n, pa.string()), chunk.column("doc_id").cast(pa.string())]),
+                    pa.concat_arrays([pa.nulls(n, pa.string()), chunk.column("lang").cast(pa.string())]),
+                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(lengths)]),
                     pa.concat_arrays([pa.nulls(n, pa.float64()), pa.array(sums)]),
                 ],
-                ["shard", "first", "keys", "rows", "times", "doc", "lang", "words", "nats"],
+                [column.split()[0] for column in ASKED.split(", ")],
             )
             number += none
 
     return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").mapInArrow(released(run), ASKED)
 
 
-def shard_charges(charges: DataFrame, shards: int) -> DataFrame:
-    """The charges that are not common, dealt to shards."""
+def spans(ordered: np.ndarray) -> list[tuple[int, int]]:
+    """Starts and ends of the runs of equal numbers."""
+    cuts = [0, *(np.flatnonzero(ordered[1:] != ordered[:-1]) + 1).tolist(), len(ordered)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
+def dealt(found: DataFrame, shards: int) -> DataFrame:
+    """Costs with their shards."""
 
     def run(batches):
-        width = np.uint64(64 - (shards.bit_length() - 1))
         for batch in batches:
-            keys = keys_of(batch.column("u"), batch.column("v"))
-            shard = (keys >> width).astype(np.int64) if shards > 1 else np.zeros(len(keys), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(keys.view(np.int64)), batch.column("charge")], ["shard", "key", "charge"])
+            c, w = batch.column("c").to_numpy().view(np.uint64), batch.column("w").to_numpy()
+            columns = [pa.array(shard_of(c, w, shards)), batch.column("c"), batch.column("w"), batch.column("cost")]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "context", "letter", "cost"])
 
-    return charges.filter("not common").select("u", "v", "charge").mapInArrow(released(run), "shard long, key long, charge double")
+    rows = found.select("c", "w", F.col("cost").cast("float").alias("cost"))
+    return rows.mapInArrow(released(run), "shard long, context long, letter int, cost float")
 
 
-def answers(asked: DataFrame, charges: DataFrame, shards: int) -> DataFrame:
-    """Rows (first, shard, rows, sums): for a piece of texts, what n-grams of a shard charge to
-    its documents."""
-    wanted = asked.select("shard", "first", "keys", "rows", "times")
-    both = charges.unionByName(wanted, allowMissingColumns=True).repartition(shards, "shard")
+def answers(asked: DataFrame, rare: DataFrame, shards: int) -> DataFrame:
+    """Rows (first, shard, rows, sums): for a piece of texts, what n-grams of a shard cost its
+    documents.  The costs of a shard come first, then the pieces that ask for them."""
+    wanted = asked.select("shard", "first", "c", "w", "docs", "runs", "times")
+    both = rare.unionByName(wanted, allowMissingColumns=True).repartition(shards, "shard")
 
     def run(batches):
         shard, held, table = None, [], None
         for batch in batches:
-            at = batch.column("shard").to_numpy()
-            for a, b in zip(cuts := [*runs_of(at).tolist(), len(at)], cuts[1:]):
-                if at[a] != shard:
-                    shard, held, table = at[a], [], None
+            of_row = batch.column("shard").to_numpy()
+            for a, b in spans(of_row):
+                if of_row[a] != shard:
+                    shard, held, table = of_row[a], [], None
                 part = batch.slice(a, b - a)
-                model = part.filter(part.column("key").is_valid())
-                held.append((model.column("key").to_numpy().view(np.uint64), model.column("charge").to_numpy().astype(np.float64)))
+                model = part.filter(part.column("letter").is_valid())
+                held.append([model.column(c).to_numpy() for c in ("context", "letter", "cost")])
                 out = []
-                for row in range(model.num_rows, b - a):
+                for row in part.slice(model.num_rows).to_pylist():
                     if table is None:
-                        keys, charge = (np.concatenate(c) for c in zip(*held))
-                        order = np.argsort(keys)
-                        table, held = (keys[order], charge[order]), []
-                    sizes = np.frombuffer(part.column("times")[row].as_buffer(), np.uint32)
-                    _, charge = found_charges(unplaned(part.column("keys")[row].as_buffer()), table)
-                    rows = np.frombuffer(part.column("rows")[row].as_buffer(), np.uint32)
-                    sums = np.bincount(rows, np.repeat(charge, sizes))
+                        c, w, cost = (np.concatenate(columns) for columns in zip(*held))
+                        table, held = Costs(c.view(np.uint64), w.astype(np.uint32), cost.astype(np.float64)), []
+                    letters, docs, runs, times = (np.frombuffer(row[c], np.uint32) for c in ("w", "docs", "runs", "times"))
+                    _, cost = table.of(unplaned(row["c"]), letters.astype(np.uint64))
+                    sums = np.bincount(docs, np.repeat(cost, runs) * times)
                     some = np.flatnonzero(sums)
-                    out.append((part.column("first")[row].as_py(), int(shard), some.astype(np.uint32).tobytes(), sums[some].tobytes()))
+                    out.append((row["first"], int(shard), some.astype(np.uint32).tobytes(), sums[some].tobytes()))
                 if out:
                     types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["first", "shard", "rows", "sums"])
 
-    ordered = both.sortWithinPartitions("shard", F.col("key").isNull())
+    ordered = both.sortWithinPartitions("shard", F.col("letter").isNull())
     return ordered.mapInArrow(released(run), "first long, shard long, rows binary, sums binary")
 
 
 def sums_by_document(answered: DataFrame) -> DataFrame:
-    """Rows (first, more): what the shards charge to the document numbered ``first``; the sums of
+    """Rows (first, more): what the n-grams of the shards cost the document numbered ``first``; the sums of
     a piece are added in the order of shards, so they are the same in every run."""
 
     def run(batches):
@@ -341,21 +351,18 @@ def sums_by_document(answered: DataFrame) -> DataFrame:
     return answered.repartition("first").sortWithinPartitions("first", "shard").mapInArrow(released(run), "first long, more double")
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` columns doc_id, lang, and ``words`` and ``nats``: their number in the text, and the
-    mean cost of a word (and of the end) under the model, null without a model or words."""
-    shards = 1 << max(3, math.ceil(model.grams / SHARD_GRAMS).bit_length()) if model else 1
-    none = (np.zeros(0, np.uint64), np.zeros(0))
-    asked = stage(ask(docs, model.unseen if model else 0.0, model.common() if model else none, shards), "asked")
-    told = asked.filter("shard is null")
-    mean = F.col("nats") / (F.col("words") + 1)
-    if model:
-        more = sums_by_document(answers(asked.filter("shard is not null"), shard_charges(model.charges, shards), shards))
-        told = told.join(more, "first", "left")
-        mean = (F.col("nats") + F.coalesce("more", F.lit(0.0))) / (F.col("words") + 1)
+def score(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` columns doc_id, lang, and ``letters`` and ``nats``: their number in the text, and
+    the mean cost of a letter."""
+    often, known = common(found)
+    rare = found.filter(~often)
+    shards = 1 << max(3, math.ceil(rare.count() / SHARD_GRAMS).bit_length())
+    asked = stage(ask(docs, known, shards), "asked")
+    more = sums_by_document(answers(asked.filter("shard is not null"), dealt(rare, shards), shards))
+    told = asked.filter("shard is null").select("first", "doc", "lang", "letters", "nats").join(more, "first", "left")
+    mean = (F.col("nats") + F.coalesce("more", F.lit(0.0))) / F.col("letters")
     key = docs.schema["doc_id"].dataType
-    nats = F.when(F.col("words") > 0, mean) if model else F.lit(None).cast("double")
-    return told.select(F.col("doc").cast(key).alias("doc_id"), "lang", "words", nats.alias("nats"))
+    return told.select(F.col("doc").cast(key).alias("doc_id"), "lang", "letters", F.when(F.col("letters") > 0, mean).alias("nats"))
 
 
 # ---- limits ------------------------------------------------------------------
@@ -386,15 +393,15 @@ def testing() -> Column:
 
 
 def scatter() -> Column:
-    return MARGIN / F.sqrt(F.greatest("words", F.lit(1)))
+    return MARGIN / F.sqrt(F.greatest("letters", F.lit(1)))
 
 
 def judged(docs: DataFrame, labels: DataFrame, number: str = "doc_id") -> DataFrame:
     """Scores of all documents with ``limit`` and ``kept``; column ``doc_id`` holds ``number``."""
     ids = trusted_ids(labels)
-    model = fit(rows_of(docs.select("doc_id", "text"), ids.filter(~testing())))
+    found = fit(docs, rows_of(docs.select("doc_id", "text"), ids.filter(~testing())))
     named = docs.select(F.col(number).alias("doc_id"), "lang", "text")
-    scored = stage(score(named, model), "scored")
+    scored = stage(score(named, found), "scored")
     held_out = scored
     if number != "doc_id":
         held_out = scored.withColumnRenamed("doc_id", number).join(docs.select(number, "doc_id"), number)
@@ -406,12 +413,12 @@ def judged(docs: DataFrame, labels: DataFrame, number: str = "doc_id") -> DataFr
     rows = scored.join(own, F.col("lang") == F.col("_lang"), "left")
     weight = F.coalesce("texts", F.lit(0))
     limit = (weight * F.coalesce("_own", F.lit(0.0)) + PRIOR * general) / (weight + PRIOR) + SLACK + scatter()
-    good = (F.col("words") > 0) & F.coalesce(F.col("nats") <= limit, F.lit(True))
-    return rows.select("doc_id", "lang", "words", "nats", limit.alias("limit"), good.alias("kept"))
+    good = (F.col("letters") > 0) & F.coalesce(F.col("nats") <= limit, F.lit(True))
+    return rows.select("doc_id", "lang", "letters", "nats", limit.alias("limit"), good.alias("kept"))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``lang``, ``perplexity`` of a word, ``limit`` and
+    """One row per document: ``doc_id``, ``lang``, ``perplexity`` of a letter, ``limit`` and
     ``kept``."""
     return judged(docs, labels).select(
         "doc_id", "lang", F.exp("nats").alias("perplexity"), F.exp("limit").alias("limit"), "kept"
