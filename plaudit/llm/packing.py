@@ -3,9 +3,10 @@
 Pieces of documents are dealt by hash into blocks of about ``BLOCK_ITEMS``, so a task's work
 does not grow with the corpus.  Each block has ``ISLANDS`` populations of packings.  A
 crossover injects whole well-filled bins of one packing into another, takes out the bins
-that hold pieces twice, and places the displaced pieces best-fit, largest first.  After each
-epoch the best packing of every island moves to the next island of its block.  Bins that
-end poorly filled are dissolved and their pieces, from all blocks, packed once more.
+that hold pieces twice, and places the displaced pieces best-fit, largest first.  An epoch of an
+island ends when ``PATIENCE`` children in a row gave no better best packing, or at the lower
+bound.  After each epoch the best packing of every island moves to the next island of its
+block.  Bins that end poorly filled are dissolved and their pieces, from all blocks, packed once more.
 
 Defined cases: a null text is an empty one and has only the closing token; null and repeated
 ``doc_id`` are kept, each input row is packed for itself; ties between packings go to the
@@ -28,10 +29,11 @@ from plaudit.staging import stage
 SIZE = 2048
 CLOSING = 0
 BLOCK_ITEMS = 4096
-ISLANDS = 2
-POPULATION = 4
-GENERATIONS = 6
-EPOCHS = 2
+ISLANDS = 4
+POPULATION = 16
+NOISES = (0.0, 0.02, 0.05, 0.1, 0.2)  # of the lengths by which first packings are ordered, in turn
+PATIENCE = 100
+EPOCHS = 4
 WELL_FILLED = 0.99
 POORLY_FILLED = 0.95
 
@@ -106,6 +108,15 @@ class Block:
         self.best_fit(packing, self.largest_first(np.arange(len(packing)), noise), [])
         return packing
 
+    def beginning(self, most: int) -> list[np.ndarray]:
+        """First packings, the plain best-fit one before others; none after one at the lower bound."""
+        made = []
+        for n in range(most):
+            made.append(self.first(NOISES[n % len(NOISES)] if n else 0.0))
+            if -self.fitness(made[-1])[0] <= self.least:
+                break
+        return made
+
     def without(self, packing: np.ndarray, gone: np.ndarray, injected: np.ndarray | None = None, donor: np.ndarray | None = None) -> np.ndarray:
         """Packing without the bins marked ``gone``; items ``injected`` go as ``donor`` has them,
         the others of those bins are placed again."""
@@ -136,13 +147,13 @@ class Block:
         gone = (fills < WELL_FILLED * self.size) | (self.random.random(len(fills)) < 0.03)
         return self.without(packing, gone)
 
-    def evolve(self, population: list[np.ndarray], generations: int) -> list[np.ndarray]:
-        """The population after some generations, best first."""
+    def evolve(self, population: list[np.ndarray], patience: int) -> list[np.ndarray]:
+        """The population after ``patience`` children in a row without a better best one, best first."""
         ranked = sorted(((self.fitness(p), n, p) for n, p in enumerate(population)), key=lambda x: (x[0], -x[1]), reverse=True)
         ranked = [(fit, p) for fit, _, p in ranked][:POPULATION]
-        for _ in range(generations):
-            if -ranked[0][0][0] <= self.least:
-                break
+        idle = 0
+        while idle < patience and -ranked[0][0][0] > self.least:
+            best = ranked[0][0]
             mother, father = self.random.choice(len(ranked), 2, replace=len(ranked) < 2)
             child = self.crossover(ranked[mother][1], ranked[father][1])
             if self.random.random() < 0.5:
@@ -151,6 +162,7 @@ class Block:
             if made > ranked[-1][0] and all(made != fit for fit, _ in ranked):
                 ranked[-1] = (made, child)
                 ranked.sort(key=lambda x: x[0], reverse=True)
+            idle = 0 if ranked[0][0] > best else idle + 1
         return [p for _, p in ranked]
 
 
@@ -163,8 +175,8 @@ def evolve(state: DataFrame, epoch: int, size: int) -> DataFrame:
                 block = Block(np.array(row["lengths"], np.int64), size, (row["block"], row["island"], epoch))
                 population = [np.frombuffer(p, np.int32) for p in row["population"]]
                 if not population:
-                    population = [block.first(noise) for noise in (0.0, 0.05, 0.1, 0.2)[:POPULATION]]
-                population = block.evolve(population, GENERATIONS)
+                    population = block.beginning(POPULATION)
+                population = block.evolve(population, PATIENCE)
                 bins, squares = block.fitness(population[0])
                 made = {**row, "population": [p.tobytes() for p in population], "elite": population[0].tobytes(), "bins": -bins, "squares": squares}
                 yield pa.RecordBatch.from_pylist([made], batch.schema)

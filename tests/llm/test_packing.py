@@ -79,3 +79,31 @@ def test_blocks_are_bounded(spark, monkeypatch):
     out = P.pack_items(items).toPandas()
     assert sorted(out["item"]) == list(range(1000)) and out.groupby("block").size().max() < 150
     assert (out.groupby(["block", "bin"])["length"].sum() <= 2048).all()
+
+
+def test_evolution_gets_enough_work_to_beat_best_fit(spark):
+    """Pieces that fill sequences in threes, packed with the settings of the query."""
+    rng = np.random.default_rng(3)
+    lengths = []
+    for _ in range(40):
+        a, b = rng.integers(300, 900, 2).tolist()
+        lengths += [a, b, 2048 - a - b]
+    items = spark.createDataFrame(list(enumerate(lengths)), "item long, length long")
+    plain = P.Block(np.array(lengths), 2048, 0)
+    out = P.pack_items(items).toPandas()
+    assert sorted(out["item"]) == list(range(120))
+    assert len(out.groupby(["block", "bin"])) < -plain.fitness(plain.first(0.0))[0]
+
+
+def test_evolution_goes_on_while_it_gains():
+    """The number of children without a gain ends an epoch, not the number of children."""
+    rng = np.random.default_rng(3)
+    lengths = []
+    for _ in range(40):
+        a, b = rng.integers(300, 900, 2).tolist()
+        lengths += [a, b, 2048 - a - b]
+    block, made = P.Block(np.array(lengths), 2048, 1), []
+    cross = block.crossover
+    block.crossover = lambda *parents: made.append(1) or cross(*parents)
+    block.evolve(block.beginning(P.POPULATION), 20)
+    assert len(made) > 20
