@@ -22,6 +22,8 @@ def write_table(
     writer = out.write.mode(mode).format(format)
     if format == "csv":
         writer = writer.option("header", True)
+    if format == "parquet":
+        writer = writer.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
