@@ -391,10 +391,9 @@ def dw_fact_reviews(spark, sf):
 
 
 def _text_star(spark, sf):
-    def build():
-        return {name: stage(df, f"text_{name}") for name, df in S.build_star(_silver(spark, sf)).items()}
-
-    return stored(spark, sf, "text_star", build)
+    """The star of the silver reviews.  Its dimensions are stored; the texts of the fact stay
+    where the silver table has them, as a second copy would only be read again."""
+    return stored(spark, sf, "text_star", lambda: S.build_star(_silver(spark, sf)))
 
 
 @query
