@@ -22,9 +22,9 @@ from plaudit.operators import cube as K
 from plaudit.operators import seen
 from plaudit.operators import words as W
 from plaudit.operators.keys import dense_key, extend_keys
-from plaudit.plans.silver import to_silver
+from plaudit.plans.silver import cleaned
 from plaudit.sources.raw import BRONZE_COLUMNS
-from plaudit.sources.snapshots import Snapshot, latest, publish
+from plaudit.sources.snapshots import Snapshot, latest, publish, put
 from plaudit.staging import stage
 
 # additive tables and what identifies their rows
@@ -50,7 +50,8 @@ def fresh_rows(base: Snapshot, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     if "digests" not in base:
         return rows, rows
     known = stage(seen.seen_before(rows.select("digest"), base.read("digests"), base.read("bloom")), "known")
-    return rows, stage(rows.join(known, "digest", "left_anti"), "fresh")
+    # texts are read from the batch again: a copy of the fresh ones would be written for nothing
+    return rows, rows.join(known, "digest", "left_anti")
 
 
 def apply_batch(spark: SparkSession, root: str, raw: DataFrame, batch: str, rules: Sequence = CATEGORY_RULES) -> Snapshot:
@@ -60,27 +61,28 @@ def apply_batch(spark: SparkSession, root: str, raw: DataFrame, batch: str, rule
     if batch in base.batches:
         return base
     rows, fresh = fresh_rows(base, raw)
-    reviews = stage(to_silver(fresh.select(*BRONZE_COLUMNS), rules=rules), "fresh-silver")
+    # distinct rows by their digests; written once, where the version will have them
+    place, reviews = put(base, "silver", cleaned(fresh.select(*BRONZE_COLUMNS), rules=rules))
+    digests = stage(fresh.select("digest"), "fresh")
 
     state = {}
     for name, delta in deltas(reviews).items():
         state[name] = added(base.read(name), delta, STATE[name]) if name in base else delta
     named = reviews.filter(F.col("product_name").isNotNull())
     state["product_keys"] = extend_keys(base.read("product_keys") if "product_keys" in base else None, named, PRODUCT, "product_key")
-    bloom = seen.bloom(fresh.select("digest"))
+    bloom = seen.bloom(digests)
     state["bloom"] = seen.merged_bloom(base.read("bloom"), bloom) if "bloom" in base else bloom
 
     last = base.read("digests").agg(F.coalesce(F.max("row_key"), F.lit(0))).first()[0] if "digests" in base else 0
-    keyed = dense_key(fresh.select("digest"), ["digest"], "row_key", after=last)
+    keyed = dense_key(digests, ["digest"], "row_key", after=last)
     size = lambda df: df.agg(F.count(F.lit(1))).scalar()
     counts = rows.agg(F.coalesce(F.sum("delivered"), F.lit(0)).alias("delivered"), F.count(F.lit(1)).alias("distinct_rows"))
-    counts = counts.withColumn("added", size(fresh)).withColumn("kept", size(reviews))
+    counts = counts.withColumn("added", size(digests)).withColumn("kept", size(reviews))
     more = {
-        "silver": reviews,
         "digests": keyed.withColumn("bucket", seen.bucket_of(F.col("digest"))).repartitionByRange("bucket").sortWithinPartitions("bucket"),
         "batches": counts.select(F.lit(batch).alias("batch"), *counts.columns),
     }
-    return publish(base, state, more, batch)
+    return publish(base, state, more, batch, {"silver": (place, reviews)})
 
 
 def cube_of(version: Snapshot) -> DataFrame:

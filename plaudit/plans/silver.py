@@ -21,9 +21,18 @@ def to_silver(
     The three row checks are cheap and Catalyst moves them below the
     de-duplication; the costly text work runs once per surviving row above it.
     """
+    return cleaned(raw.transform(C.drop_exact_duplicates), rules, bands, strict_price)
+
+
+def cleaned(
+    distinct: DataFrame,
+    rules: Sequence[tuple[str, str]] = R.CATEGORY_RULES,
+    bands: Sequence[tuple[float, str]] = R.PRICE_BANDS,
+    strict_price: bool = False,
+) -> DataFrame:
+    """The silver rows of raw rows that are distinct already."""
     return (
-        raw.transform(C.drop_exact_duplicates)
-        .transform(C.valid_rating)
+        distinct.transform(C.valid_rating)
         .transform(C.parse_price, strict=strict_price)
         .transform(C.keep_lettered)
         .transform(C.clean_text)

@@ -77,13 +77,23 @@ def at_version(spark: SparkSession, root: str, version: int) -> Snapshot:
     return Snapshot(spark, root, version, tables, schemas, frozenset(r["name"] for r in rows if r["kind"] == "batch"))
 
 
+def put(base: Snapshot, name: str, rows: DataFrame) -> tuple[str, DataFrame]:
+    """Write rows under a new name among the data of the versions; they belong to none until
+    ``publish`` lists their folder."""
+    path = f"{base.root}/data/{name}-{uuid.uuid4().hex}"
+    write_table(rows, path, mode="errorifexists")
+    return path, base.spark.read.schema(rows.schema).parquet(path)
+
+
 def publish(
     base: Snapshot,
     replace: Mapping[str, DataFrame],
     append: Mapping[str, DataFrame] | None = None,
     batch: str | None = None,
+    placed: Mapping[str, tuple[str, DataFrame]] | None = None,
 ) -> Snapshot:
-    """A version after ``base``: some tables new, some with rows appended, the others as they are."""
+    """A version after ``base``: some tables new, some with rows appended, the others as they are.
+    ``placed`` are appended rows that ``put`` has written."""
     spark, root = base.spark, base.root
     number = max(_manifests(spark, root), default=0) + 1
     folder = f"{root}/data/{number:010d}-{uuid.uuid4().hex}"
@@ -93,6 +103,9 @@ def publish(
         write_table(rows, path, mode="errorifexists")
         schemas[name] = rows.schema.json()
         tables[name] = [path] if name in replace else [*tables.get(name, []), path]
+    for name, (path, rows) in (placed or {}).items():
+        schemas[name] = rows.schema.json()
+        tables[name] = [*tables.get(name, []), path]
     batches = base.batches | ({batch} if batch is not None else set())
     listed = [("table", name, path, schemas[name]) for name, paths in tables.items() for path in paths]
     listed += [("batch", name, None, None) for name in sorted(batches)]
