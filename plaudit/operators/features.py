@@ -37,6 +37,12 @@ def idf(words: DataFrame, texts: DataFrame) -> DataFrame:
     return words.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)))
 
 
+def by_text(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Texts dealt by ``keys`` into partitions of a sixteenth of those they are read in.  Their
+    words need no shuffle then to be counted by text, and a task counts those of few texts."""
+    return texts.repartition(16 * max(1, texts.rdd.getNumPartitions()), *keys)
+
+
 def tfidf(words: DataFrame, weights: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Uses of each vocabulary word in each text, weighted by idf.
 

@@ -697,7 +697,7 @@ def ml_idf(spark, sf):
 def ml_tfidf(spark, sf):
     texts = _texts(spark, sf)
     weights = stage(X.idf(X.vocabulary(X.word_frequencies(texts)), texts), "idf")
-    words = W.remove_stop_words(W.split_words(texts, ["doc_id"]))
+    words = W.remove_stop_words(W.split_words(X.by_text(texts, ["doc_id"]), ["doc_id"]))
     return X.tfidf(words, weights, ["doc_id"]).withColumn("tfidf", settle(F.col("tfidf"), 6))
 
 

@@ -3,8 +3,8 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
+from plaudit.operators import features as X, words as W
 from plaudit.plans import incremental as I, registry as Q
 from plaudit.sources.raw import BRONZE_COLUMNS
 from plaudit.sources.testdata import raw_reviews, spread
@@ -74,3 +74,18 @@ def test_batch_writes_cleaned_texts_once(spark, tmp_path):
     assert version.read("digests").count() == 40
     counts = {r["batch"]: (r["delivered"], r["distinct_rows"], r["added"], r["kept"]) for r in version.read("batches").collect()}
     assert counts == {"first": (48, 24, 24, 24), "second": (80, 40, 16, 16)}
+
+
+def test_words_of_a_text_are_counted_in_small_partitions(spark):
+    texts = spark.createDataFrame([(1, "a b a c"), (1, "a d"), (None, "b b"), (2, "c a")], "doc_id long, review_text string")
+    weights = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 0.5)], "word string, idf double")
+    dealt = X.by_text(texts, ["doc_id"])
+    assert dealt.rdd.getNumPartitions() >= 16 * texts.rdd.getNumPartitions()
+    found = X.tfidf(W.split_words(dealt, ["doc_id"]), weights, ["doc_id"])
+    made = sorted((tuple(r) for r in found.collect()), key=repr)
+    assert made == sorted([(1, "a", 3, 3.0), (1, "b", 1, 2.0), (1, "c", 1, 0.5), (None, "b", 2, 4.0), (2, "c", 1, 0.5), (2, "a", 1, 1.0)], key=repr)
+
+
+def test_tfidf_moves_texts_and_not_their_words(spark):
+    text = plan(Q.ml_tfidf(spark, SMALL))
+    assert text.count("Exchange hashpartitioning(doc_id") == 1 and "word" not in text.split("Exchange hashpartitioning(doc_id")[1].split("\n")[0]
