@@ -46,7 +46,7 @@ def deltas(reviews: DataFrame) -> dict[str, DataFrame]:
 
 def fresh_rows(base: Snapshot, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct rows of a batch, and those of them that no earlier batch delivered."""
-    rows = stage(seen.digested(raw, BRONZE_COLUMNS), "batch")
+    rows = stage(seen.digested(raw, BRONZE_COLUMNS), "batch", "zstd")
     if "digests" not in base:
         return rows, rows
     known = stage(seen.seen_before(rows.select("digest"), base.read("digests"), base.read("bloom")), "known")

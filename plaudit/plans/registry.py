@@ -70,7 +70,7 @@ def stored(spark: SparkSession, sf: str, what: str, build: Callable[[], object])
 
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
     """The silver table as a pipeline run leaves it."""
-    return stored(spark, sf, "silver", lambda: stage(to_silver(raw_reviews(spark, sf), rules=TEST_RULES), "silver"))
+    return stored(spark, sf, "silver", lambda: stage(to_silver(raw_reviews(spark, sf), rules=TEST_RULES), "silver", "zstd"))
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,7 +83,7 @@ def _texts(spark: SparkSession, sf: str) -> DataFrame:
 
     def build():
         texts = spread(table(spark, sf, "documents"), "doc_id", "text")
-        return stage(texts.select("doc_id", T.plain_words(F.col("text")).alias("review_text")), "texts")
+        return stage(texts.select("doc_id", T.plain_words(F.col("text")).alias("review_text")), "texts", "zstd")
 
     return stored(spark, sf, "texts", build)
 

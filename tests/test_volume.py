@@ -45,7 +45,7 @@ def test_few_partitions_are_dealt_out(spark):
 
 def test_staged_tables_are_packed_well(spark):
     before = folders(spark)
-    assert stage(spark.range(5), "packed").count() == 5
+    assert stage(spark.range(5), "packed", "zstd").count() == 5
     (made,) = folders(spark) - before
     assert any(f.endswith(".zstd.parquet") or ".zstd" in f for f in os.listdir(f"{staging_root(spark)}/{made}"))
 
