@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from plaudit.functions.rules import SENTIMENTS
+from plaudit.operators import features as X
 from plaudit.operators.clean import keep_nonempty, label
 from plaudit.operators.metrics import class_report, class_weights, confusion, metrics
 from plaudit.operators.scoring import parity, score
@@ -38,18 +38,35 @@ def text_classifier(vocab_size: int = 20000, min_df: int = 3, max_iter: int = 30
     return Pipeline(stages=[words, kept, counts, scaled, classifier])
 
 
+def counter(texts: DataFrame, vectorizer: CountVectorizer) -> CountVectorizerModel:
+    """``vectorizer`` fitted on cleaned texts: the most used words, ties in word order.
+
+    The words are counted by hash aggregation, so no text becomes a map of Java objects.  Stop
+    words are no part of the vocabulary.
+    """
+    found = X.vocabulary(X.word_frequencies(texts), vectorizer.getVocabSize(), int(vectorizer.getMinDF()))
+    words = [row["word"] for row in found.select("word").collect()]
+    if not words:
+        raise ValueError("no word is in enough texts for a vocabulary")
+    return CountVectorizerModel.from_vocabulary(words, vectorizer.getInputCol(), vectorizer.getOutputCol())
+
+
 def train(labelled: DataFrame, **settings) -> PipelineModel:
-    """Fit on rows with ``review_text`` and ``label``, every class weighing the same.
+    """Fit on rows with cleaned ``review_text`` and ``label``, every class weighing the same.
 
-    The input is kept on the executors during the fit; lost blocks are recomputed.
+    The texts are read twice, for the vocabulary and for the word counts.  The counts are
+    written once; inverse document frequencies, class weights and the classifier come from them.
+    Cleaned texts are split as ``Tokenizer`` does, and stop words are not in the vocabulary.
     """
-    rows = labelled.select("review_text", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # one row per class
-        weights = F.broadcast(class_weights(rows).select("label", "weight"))
-        return text_classifier(**settings).fit(rows.join(weights, "label"))
-    finally:
-        rows.unpersist()
+    words, kept, vectorizer, scaled, classifier = text_classifier(**settings).getStages()
+    counts = counter(labelled, vectorizer)
+    split = labelled.select("label", F.split("review_text", " ").alias(counts.getInputCol()))
+    counted = stage(counts.transform(split).select("label", counts.getOutputCol()), "counted", "zstd")
+    scaler = scaled.fit(counted)
+    # one row per class
+    weights = F.broadcast(class_weights(counted).select("label", "weight"))
+    fitted = classifier.fit(scaler.transform(counted.join(weights, "label")))
+    return PipelineModel([words, kept, counts, scaler, fitted])
 
 
 def training_rows(silver: DataFrame, classes: Sequence[str] = SENTIMENTS) -> DataFrame:

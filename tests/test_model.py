@@ -100,3 +100,24 @@ def test_all_words_have_weights_unless_a_size_is_given(spark):
     texts = spark.range(3).selectExpr("array_join(transform(sequence(1, 20500), i -> 'w' || i), ' ') AS review_text")
     words = X.word_frequencies(texts)
     assert X.vocabulary(words).count() == 20_500 and X.vocabulary(words, 20_000).count() == 20_000
+
+
+def test_training_counts_words_as_mllib_does(spark, fitted, monkeypatch):
+    """Every text is cut into words twice at most, and model and vocabulary are MLlib's own."""
+    rows = ML.training_rows(fitted[0])
+    weighted = rows.join(F.broadcast(ML.class_weights(rows).select("label", "weight")), "label")
+    theirs = ML.text_classifier(max_iter=5).fit(weighted)
+    staged = []
+    monkeypatch.setattr(ML, "stage", lambda df, *rest: staged.append(rest[0]) or stage(df, *rest))
+    mine = ML.train(rows, max_iter=5)
+    assert staged == ["counted"] and len(mine.stages) == len(theirs.stages) == 5
+    assert set(mine.stages[2].vocabulary) == set(theirs.stages[2].vocabulary)
+    for model in (mine, theirs):
+        counts = dict(zip(model.stages[2].vocabulary, model.stages[3].docFreq))
+        weights = model.stages[4].coefficientMatrix.toArray().T
+        by_word = sorted(zip(model.stages[2].vocabulary, map(tuple, weights)))
+        if model is mine:
+            kept = counts, by_word
+    assert kept[0] == counts
+    for (word, w), (other, v) in zip(kept[1], by_word):
+        assert word == other and w == pytest.approx(v, abs=1e-6)
