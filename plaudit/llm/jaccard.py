@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from plaudit.llm.chunks import LONG_WORD, released, runs, text_chunks, word_digest
 from plaudit.llm.graph import components
-from plaudit.llm.select import near_rows
+from plaudit.llm.select import flagged
 from plaudit.staging import stage
 
 RARE = 16
@@ -283,12 +283,14 @@ def may_link(n_a, n_b, percent: int):
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) of classes that link."""
-    sized = classes.select("cid", "n", "bits")
+    """Links among the pairs (a, b) of classes: those that join whatever the pairs that link
+    join.  Sets are moved for the pair of each class with its smallest partner first, then only
+    for pairs that are still between components."""
+    sized = classes.select("cid", "n", "bits", "digest")
     joined = (
-        pairs.join(sized.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
-        .join(sized.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
-        .select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        pairs.join(sized.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"), F.col("digest").alias("x")), "a")
+        .join(sized.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"), F.col("digest").alias("y")), "b")
+        .select("a", "b", "x", "y", "n_a", "n_b", "bits_a", "bits_b")
     )
 
     def near(batches):
@@ -298,13 +300,30 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, pe
             bits = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(rows, -1) for c in ("bits_a", "bits_b")]
             differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
             # |x ^ y| <= (100 - percent) / (100 + percent) * (|x| + |y|)
-            yield batch.filter(pa.array(differ * (100 + percent) <= n * (100 - percent))).select(["a", "b"])
+            yield batch.filter(pa.array(differ * (100 + percent) <= n * (100 - percent))).select(["a", "b", "x", "y"])
+
+    close = stage(joined.mapInArrow(released(near), "a long, b long, x binary, y binary"), "close")
+    first = close.groupBy("b").agg(F.min(F.struct("a", "x", "y")).alias("_p")).select("_p.a", "b", "_p.x", "_p.y")
+    links = checked(first, classes, docs, words, percent)
+    named = components(links).select(F.col("id"), F.col("component"))
+    between = (
+        close.join(named.select(F.col("id").alias("a"), F.col("component").alias("_a")), "a", "left")
+        .join(named.select(F.col("id").alias("b"), F.col("component").alias("_b")), "b", "left")
+        .filter(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
+        .join(first.select("a", "b"), ["a", "b"], "left_anti")
+    )
+    rest = stage(between.select("a", "b", "x", "y"), "between")
+    return links if rest.isEmpty() else links.unionByName(checked(rest, classes, docs, words, percent))
+
 
-    close = stage(joined.mapInArrow(released(near), "a long, b long"), "close")
-    wanted = close.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    reps = stage(classes.select("cid", "rep", "digest").join(wanted, "cid"), "reps")
-    # texts of the wanted documents only: a slot list of bounded size goes to every task first
-    few = near_rows(docs.select("doc_id", "text"), reps.select(F.col("rep").alias("doc_id")))
+def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) of classes with the digests x and y that link."""
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("digest")).distinct()
+    reps = stage(classes.select("rep", "digest").join(wanted, "digest"), "reps")
+    # texts of the wanted documents, then sets with a wanted digest, told where they are
+    id_hash = F.xxhash64(F.col("doc_id").cast("string"))
+    ids = reps.select(F.xxhash64(F.col("rep").cast("string")).alias("_key"))
+    few = flagged(docs.select("doc_id", "text"), id_hash, ids, "_few").filter("_few").select("doc_id", "text")
 
     def made(batches):
         shingler = Shingler(words)
@@ -316,18 +335,20 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, pe
                     ["digest", "tokens"],
                 )
 
-    tokens = few.mapInArrow(released(made), "digest binary, tokens binary").dropDuplicates(["digest"])
-    sets = stage(reps.join(tokens, "digest").select("cid", "tokens"), "sets")
+    made_sets = few.mapInArrow(released(made), "digest binary, tokens binary")
+    keys = reps.select(F.xxhash64("digest").alias("_key"))
+    sets = flagged(made_sets, F.xxhash64("digest"), keys, "_set").filter("_set").select("digest", "tokens").dropDuplicates(["digest"])
+    # both joins read the sets as they were dealt by digest once
     both = (
-        close.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("x")), "a")
-        .join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("y")), "b")
-        .select("a", "b", "x", "y")
+        pairs.join(sets.select(F.col("digest").alias("x"), F.col("tokens").alias("s")), "x")
+        .join(sets.select(F.col("digest").alias("y"), F.col("tokens").alias("t")), "y")
+        .select("a", "b", "s", "t")
     )
 
     def check(batches):
         for batch in batches:
             good = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
+            for x, y in zip(batch.column("s"), batch.column("t")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * shared >= percent * (len(x) + len(y) - shared))
@@ -342,10 +363,16 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     spark = docs.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frequent = frequent_shingles(docs, words, ranges)
-    rows = stage(describe(docs, words, percent, frequent, ranges), "shingles")
-    grouped = rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
-    classes = stage(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    keyed = classes.select("cid", "n", F.explode("keys").alias("key"))
+    described = describe(docs, words, percent, frequent, ranges)
+    rows = stage(described.withColumn("row", F.monotonically_increasing_id()), "shingles")
+    grouped = rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("cid"), F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    classes = stage(grouped, "classes")
+    # a class is named by a row of it, whose keys stay where they are; only rows that may be copies move
+    keys = rows.filter("n > 0").select(F.col("row").alias("cid"), "n", "keys")
+    copies = keys.select("cid").join(classes.select("cid"), "cid", "left_anti").select(F.xxhash64("cid"))
+    told = flagged(keys, F.xxhash64("cid"), copies, "_maybe")
+    only = told.filter("_maybe").join(classes.select("cid"), "cid", "left_semi")
+    keyed = told.filter("not _maybe").unionByName(only).select("cid", "n", F.explode("keys").alias("key"))
     sized = keyed.withColumn("m", F.count("*").over(W.partitionBy("key")))
     lists = stage(sized.filter("m > 1").select("key", "cid", "n", "m"), "lists")
     few = neighbours(lists.filter(F.col("m") <= SHORT_LIST), percent)
@@ -443,8 +470,13 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     told apart by ``doc_id`` and set, so rows equal in both are one.  Rows without words stay."""
     found = stage(named_groups(docs, words, percent), "groups")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("_no"), "doc_id", "digest"))
-    kept = found.filter("n_shingles > 0").groupBy("_c").agg(best.alias("_k"))
-    kept = kept.select(F.col("_k.doc_id").alias("_id"), F.col("_k.digest").alias("_digest"))
+    worded = found.filter("n_shingles > 0").select("doc_id", "digest", "_c")
+    firsts = worded.groupBy("_c").agg(best.alias("_k"))
+    kept = firsts.select(F.col("_k.doc_id").alias("_id"), F.col("_k.digest").alias("_digest"))
+    # rows that go or come several times; all others are kept where they are
+    is_first = F.col("doc_id").eqNullSafe(F.col("_k.doc_id")) & (F.col("digest") == F.col("_k.digest"))
+    keyed = worded.join(firsts, "_c").groupBy("doc_id", "digest").agg(F.count("*").alias("_rows"), F.bool_or(is_first).alias("_first"))
+    doubtful = keyed.filter("_rows > 1 or not _first").select(F.xxhash64("doc_id", "digest"))
 
     def run(batches):
         shingler = Shingler(words)
@@ -455,7 +487,8 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*chunk.columns, marks], [*chunk.schema.names, "_mark"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_mark", T.BinaryType())])
-    marked = docs.mapInArrow(released(run), schema)
+    marked = flagged(docs.mapInArrow(released(run), schema), F.xxhash64("doc_id", "_mark"), doubtful, "_maybe")
+    moved = F.col("_maybe") & F.col("_mark").isNotNull()
     same = (F.col("_mark") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    first = marked.filter("_mark is not null").join(kept, same).dropDuplicates(["doc_id", "_mark"])
-    return first.select(*docs.columns).unionByName(marked.filter("_mark is null").select(*docs.columns))
+    first = marked.filter(moved).join(kept, same).dropDuplicates(["doc_id", "_mark"])
+    return first.select(*docs.columns).unionByName(marked.filter(~moved).select(*docs.columns))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from plaudit.llm import jaccard as J
 from plaudit.llm.graph import components
 from plaudit.llm.registry import QUERIES
+from plaudit.llm.select import flagged
 from tests.conftest import SMALL, plan
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -155,3 +156,44 @@ def test_packed_numbers_come_back():
     for ends in ([0], [2**32 - 1], [0, 2**32 - 1], list(range(9)), list(range(2**32 - 9, 2**32))):
         made = np.array(ends, np.uint32)
         assert J.unpacked(J.packed(made)).tolist() == ends
+
+
+def test_texts_that_are_no_one_s_copy_stay_where_they_are(spark):
+    texts = near_copies(9, 12, 4, 50, 0) + ["", None, "lone words that no other text has got"]
+    rows = [(None if i == 5 else i, t) for i, t in enumerate(texts)]
+    rows += [rows[0], rows[5], (7, texts[0]), rows[-1]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = J.keep_first(docs.withColumn("part", F.spark_partition_id()))
+    # of the two sides of the union the one of unmoved rows has no exchange above the texts
+    whole = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.count("Deduplicate") + whole.count("first(part") == 1
+    parent = brute([t for _, t in rows], 5, 80)
+    names = {}
+    for (n, c), (i, t) in zip(parent, rows):
+        if n:
+            names.setdefault(c, []).append((i is None, i or 0, i))
+    want = sorted([str(min(ids)[2]) for ids in names.values()] + [str(i) for (n, _), (i, _) in zip(parent, rows) if not n])
+    assert sorted(str(r.doc_id) for r in kept.collect()) == want
+    stays = kept.withColumn("now", F.spark_partition_id()).filter("text like 'lone%' and doc_id is not null").count()
+    assert stays == 1
+
+
+def test_flags_miss_no_key(spark):
+    keys = spark.range(-500, 500).select(F.xxhash64("id").alias("k"), (F.col("id") % 7 == 0).alias("some"))
+    keys = keys.unionByName(spark.createDataFrame([(-(2**63), True), (2**63 - 1, True), (0, True), (1, False), (None, False)], "k long, some boolean"))
+    told = flagged(keys, F.col("k"), keys.filter("some").select("k"), "flag").collect()
+    assert len(told) == 1005 and all(r.flag for r in told if r.some)
+    assert sum(r.flag for r in told if not r.some) < 10
+    assert not any(r.flag for r in flagged(keys, F.col("k"), keys.limit(0).select("k"), "flag").collect())
+
+
+def test_sets_move_for_few_pairs_of_a_group(spark, monkeypatch):
+    """All pairs of a group of copies are near and up to six are looked up for each, but few are needed."""
+    own = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*own[:i], f"x{i}", *own[i + 1 :]]) for i in range(0, 200, 10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = []
+    exact = J.checked
+    monkeypatch.setattr(J, "checked", lambda pairs, *rest: asked.append(pairs.count()) or exact(pairs, *rest))
+    assert {r.component_id for r in J.groups(docs, 4, 85).collect()} == {0}
+    assert len(texts) - 1 <= sum(asked) < 3 * len(texts)
