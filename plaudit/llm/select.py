@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 SLOTS = 1 << 20
-BITMAPS, BITS = 2048, 32768  # of Spark's bitmap aggregates: 8 MB at most
 
 
 def slot(key: str) -> Column:
@@ -26,15 +25,14 @@ def rows_of(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def flagged(rows: DataFrame, key: Column, some: DataFrame, flag: str) -> DataFrame:
     """``rows`` with the boolean ``flag``: true for all whose ``key``, a 64-bit hash, is in the
-    one column of ``some``, and by chance for a few others.  The bitmaps of the keys' places that
-    go to every task are bounded, so the rows stay where they are at every size."""
+    one column of ``some``, and by chance for a few others.  The bits of the keys' places that go
+    to every task are at most ``SLOTS`` numbers, so the rows stay where they are at every size."""
 
     def placed(df: DataFrame, hashed: Column) -> DataFrame:
-        place = df.withColumn("_place", F.pmod(hashed, F.lit(BITMAPS * BITS)))
-        return place.withColumn("_map", F.call_function("div", F.col("_place"), F.lit(BITS))).withColumn("_place", F.pmod("_place", F.lit(BITS)))
-
-    maps = placed(some, F.col(some.columns[0])).groupBy("_map").agg(F.bitmap_construct_agg("_place").alias("_bits"))
-    asked = placed(rows, key).join(F.broadcast(maps), "_map", "left")
-    byte = F.substring("_bits", (F.call_function("div", F.col("_place"), F.lit(8)) + 1).cast("int"), F.lit(1))
-    found = F.bit_get(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod("_place", F.lit(8)).cast("int")) == 1
-    return asked.withColumn(flag, F.coalesce(found, F.lit(False))).drop("_map", "_place", "_bits")
+        place = df.withColumn("_place", F.pmod(hashed, F.lit(64 * SLOTS)))
+        return place.withColumn("_slot", F.shiftright("_place", 6)).withColumn("_place", F.pmod("_place", F.lit(64)).cast("int"))
+
+    bits = placed(some, F.col(some.columns[0])).groupBy("_slot").agg(F.bit_or(F.expr("shiftleft(1L, _place)")).alias("_bits"))
+    asked = placed(rows, key).join(F.broadcast(bits), "_slot", "left")
+    found = F.bit_get("_bits", F.col("_place")) == 1
+    return asked.withColumn(flag, F.coalesce(found, F.lit(False))).drop("_slot", "_place", "_bits")
