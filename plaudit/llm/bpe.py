@@ -36,7 +36,7 @@ from plaudit.llm.chunks import LONG_WORD, released, text_chunks, texts_of, word_
 KNOWN_WORDS = 1_000_000
 WORDS_AT_ONCE = 300_000  # new words in one pair index
 BLOCK_BYTES = 4_000_000  # text whose new words are encoded together
-ROW_CHARS = 1_000_000  # text cut into words at once
+ROW_CHARS = 250_000  # text cut into words at once
 END = "</w>"
 SHIFT = 20  # bits for the right symbol of a pair
 BLANK, LETTER, ALONE, SIGN, UNSEEN = range(5)
